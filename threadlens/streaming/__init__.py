@@ -1,0 +1,6 @@
+"""No streaming operators: the feature set is batch only.
+
+The column helpers in ``threadlens.functions`` and the rule operators in
+``threadlens.operators.decisions`` are stateless expressions, so they can be
+applied to a streaming DataFrame as they are.
+"""
