@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadlens.functions.text import once
 from threadlens.operators.ordering import find_hot_groups, with_sequence
 from threadlens.params import SCORE_DIMENSIONS, Params
 
@@ -97,7 +98,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.expr("CASE WHEN role = 'assistant' THEN 'brand' ELSE 'customer' END").alias("role"),
             F.expr("role = 'user'").alias("inbound"),
             F.timestamp_seconds(F.expr(EPOCH)).alias("created_at"),
-            F.expr(TEXT).alias("text"),
+            once(F.expr(TEXT)).alias("text"),
             "conv_id",
             "turn",
             F.expr(N).alias("n"),

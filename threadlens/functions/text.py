@@ -59,7 +59,16 @@ def clean_text(text: Column, p: P.Params) -> Column:
             out = F.regexp_replace(out, pattern, replacement)
     if p.lowercase:
         out = F.lower(out)
-    return F.when(is_blank(text), F.lit("")).otherwise(ustrip(out))
+    return ustrip(out)
+
+
+def once(value: Column) -> Column:
+    """Evaluate an expensive expression once per row.
+
+    Used as ``df.select("*", once(x).alias("y"))``.  Filters on a plain column are
+    pushed down by repeating its expression; a generated row is not inlined.
+    """
+    return F.explode(F.array(value))
 
 
 def contains_any(text: Column, needles: list[str]) -> Column:

@@ -6,7 +6,7 @@ sizes, so the final single-row aggregates see little data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions import text as tx
@@ -19,7 +19,10 @@ from threadlens.operators.ordering import (
 )
 from threadlens.params import Params
 
-ORDER = F.struct(F.col("created_at").isNull(), "created_at", "tweet_id")
+
+def message_order() -> Column:
+    """Chronological order with missing dates last and ties by tweet id."""
+    return F.struct(F.col("created_at").isNull(), "created_at", "tweet_id")
 
 
 def _percentiles(sizes: DataFrame, column: str, points: dict[str, float], digits: int):
@@ -27,7 +30,7 @@ def _percentiles(sizes: DataFrame, column: str, points: dict[str, float], digits
     histogram = sizes.groupBy(column).agg(F.count("*").alias("freq"))
     return histogram.agg(
         *[
-            F.round(F.percentile(column, F.lit(q), "freq"), digits).alias(name)
+            F.round(F.percentile(column, F.lit(q), F.col("freq")), digits).alias(name)
             for name, q in points.items()
         ]
     )
@@ -55,7 +58,7 @@ def thread_length_stats(messages: DataFrame) -> DataFrame:
     variance = (squares - linear * linear / total) / F.nullif(total - 1, F.lit(0))
 
     def quantile(q):
-        return F.round(F.percentile("n", F.lit(q), "freq"), 2)
+        return F.round(F.percentile("n", F.lit(q), F.col("freq")), 2)
 
     return histogram.agg(
         F.round(mean, 2).alias("mean"),
@@ -110,7 +113,7 @@ def text_length_stats(messages: DataFrame) -> DataFrame:
     both = histogram.select(F.explode(scopes).alias("scope"), "len", "freq")
     return both.groupBy("scope").agg(
         F.round(F.sum(F.col("len").cast("bigint") * F.col("freq")) / F.sum("freq"), 2).alias("mean"),
-        F.round(F.percentile("len", F.lit(0.5), "freq"), 2).alias("median"),
+        F.round(F.percentile("len", F.lit(0.5), F.col("freq")), 2).alias("median"),
         F.max("len").cast("bigint").alias("max"),
         F.min("len").cast("bigint").alias("min"),
     )
@@ -146,7 +149,7 @@ def participation(messages: DataFrame) -> DataFrame:
         histogram.groupBy("role")
         .agg(
             F.round(F.sum(F.col("k") * F.col("freq")) / F.sum("freq"), 2).alias("mean"),
-            F.round(F.percentile("k", F.lit(0.5), "freq"), 2).alias("median"),
+            F.round(F.percentile("k", F.lit(0.5), F.col("freq")), 2).alias("median"),
             F.max("k").alias("max"),
             F.coalesce(F.sum(F.when(F.col("k") == 0, F.col("freq"))), F.lit(0)).alias(
                 "conversations_with_zero"
@@ -233,7 +236,7 @@ def response_depth(switches: DataFrame) -> DataFrame:
         F.count("*").alias("freq"), F.sum("depth").alias("depths")
     ).agg(
         F.round(F.sum(F.col("role_switches") * F.col("freq")) / F.sum("freq"), 2).alias("mean_switches"),
-        F.round(F.percentile("role_switches", F.lit(0.5), "freq"), 2).alias("median_switches"),
+        F.round(F.percentile("role_switches", F.lit(0.5), F.col("freq")), 2).alias("median_switches"),
         F.max("role_switches").alias("max_switches"),
         F.round(F.sum("depths") / F.sum("freq"), 2).alias("mean_depth"),
     )
@@ -247,7 +250,7 @@ def depth_distribution(switches: DataFrame, n: int = 15) -> DataFrame:
 
 
 def last_speaker(messages: DataFrame) -> DataFrame:
-    return messages.groupBy("conversation_id").agg(F.max_by("role", ORDER).alias("last_role"))
+    return messages.groupBy("conversation_id").agg(F.max_by("role", message_order()).alias("last_role"))
 
 
 def opening_messages(messages: DataFrame, min_length: int = 10) -> DataFrame:
@@ -255,7 +258,7 @@ def opening_messages(messages: DataFrame, min_length: int = 10) -> DataFrame:
     return (
         messages.filter("role = 'customer'")
         .groupBy("conversation_id")
-        .agg(F.min_by("text", ORDER).alias("text"))
+        .agg(F.min_by("text", message_order()).alias("text"))
         .filter(F.length(tx.ustrip(F.col("text"))) > min_length)
     )
 
@@ -266,8 +269,8 @@ def evidence_pairs(messages: DataFrame) -> DataFrame:
     return (
         messages.groupBy("conversation_id")
         .agg(
-            F.min_by("text", F.when(customer, ORDER)).alias("customer_text"),
-            F.min_by("text", F.when(brand, ORDER)).alias("brand_reply"),
+            F.min_by("text", F.when(customer, message_order())).alias("customer_text"),
+            F.min_by("text", F.when(brand, message_order())).alias("brand_reply"),
             F.count_if(customer).alias("_c"),
             F.count_if(brand).alias("_b"),
         )
@@ -352,7 +355,7 @@ def preprocessing_summary(final: DataFrame, raw_rows: DataFrame, removals: DataF
         zero(linear).alias("final_total_messages"),
         zero(total).alias("final_total_conversations"),
         zero(linear / total, 2).alias("mean_length"),
-        zero(F.percentile("n", F.lit(0.5), "freq"), 2).alias("median_length"),
+        zero(F.percentile("n", F.lit(0.5), F.col("freq")), 2).alias("median_length"),
         zero(F.max("n")).alias("max_length"),
         zero(F.min("n")).alias("min_length"),
         zero(F.sqrt(variance), 2).alias("std_length"),

@@ -48,10 +48,8 @@ def require_brand(tweets: DataFrame, p: Params) -> DataFrame:
 
 def reply_edges(tweets: DataFrame) -> DataFrame:
     """(tweet_id, response_id) pairs from the comma-separated response lists."""
-    ids = F.split("response_tweet_id", ",")
-    return tweets.select("tweet_id", ustrip(F.explode(ids)).alias("response_id")).filter(
-        "response_id <> ''"
-    )
+    ids = F.transform(F.split("response_tweet_id", ","), ustrip)
+    return tweets.select("tweet_id", F.explode(ids).alias("response_id")).filter("response_id <> ''")
 
 
 def parent_edges(tweets: DataFrame) -> DataFrame:

@@ -43,9 +43,10 @@ def top_phrases(messages: DataFrame, size: int, n: int) -> DataFrame:
 def message_types(messages: DataFrame) -> DataFrame:
     """One row: questions, complaints and exclamations with their shares."""
     text = F.col("text")
-    counts = customer_texts(messages).agg(
+    texts = customer_texts(messages).withColumn("low", F.lower("text"))
+    counts = texts.agg(
         F.count_if(F.contains(text, F.lit("?"))).alias("questions"),
-        F.count_if(tx.contains_any(F.lower(text), P.COMPLAINT_WORDS)).alias("complaints"),
+        F.count_if(tx.contains_any(F.col("low"), P.COMPLAINT_WORDS)).alias("complaints"),
         F.count_if(F.contains(text, F.lit("!"))).alias("exclamation_msgs"),
         F.count("*").alias("_total"),
     )

@@ -20,8 +20,8 @@ MESSAGE_ORDER = ["conversation_id", "created_at", "tweet_id"]
 
 def clean_messages(messages: DataFrame, p: P.Params) -> DataFrame:
     """Cleaned ``text``; the input is kept as ``text_original``."""
-    return messages.withColumns(
-        {"text_original": F.col("text"), "text": tx.clean_text(F.col("text"), p)}
+    return messages.withColumnRenamed("text", "text_original").select(
+        "*", tx.once(tx.clean_text(F.col("text_original"), p)).alias("text")
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions import text as tx
-from threadlens.operators.conversations import ORDER
+from threadlens.operators.conversations import message_order
 from threadlens.operators.ordering import HotGroups, find_hot_groups, with_previous
 from threadlens.params import Params
 
@@ -36,7 +36,7 @@ def conversation_signals(
     )
     structure = messages.groupBy(key).agg(
         (F.count_if(customer) >= p.followup_messages).alias("repeated_followups"),
-        (F.max_by("role", ORDER) == "customer").alias("unresolved"),
+        (F.max_by("role", message_order()) == "customer").alias("unresolved"),
     )
     # one row per conversation on both sides
     return structure.join(keyword_flags, key, "left").na.fill(False)

@@ -77,19 +77,28 @@ def scan_conversations(spark: SparkSession, path: str) -> DataFrame:
     return require_columns(df, ["conversation_id"])
 
 
-def scan_message_json(spark: SparkSession, path: str) -> DataFrame:
-    """Batch requests: one text per message.
+def parse_message_json(documents: DataFrame, column: str = "value") -> DataFrame:
+    """Explode JSON request documents into (position, text), other columns kept.
 
-    Accepts a list of strings, a list of objects with ``text``, or an object with
-    such a list under ``messages``.  Each file is one JSON document.
+    A document is a list of strings, a list of objects with ``text``, or an
+    object with such a list under ``messages``.
     """
-    content = spark.read.text(path, wholetext=True)
-    wrapped = F.from_json("value", "messages array<string>")
-    plain = F.from_json("value", "array<string>")
-    items = content.select(F.coalesce(wrapped["messages"], plain).alias("items"))
-    item = items.select(F.posexplode("items").alias("position", "item"))
-    text = F.when(F.startswith(F.ltrim("item"), F.lit("{")), F.coalesce(F.get_json_object("item", "$.text"), F.lit("")))
-    return item.select("position", text.otherwise(F.col("item")).alias("text"))
+    wrapped = F.from_json(column, "messages array<string>")["messages"]
+    plain = F.from_json(column, "array<string>")
+    others = [c for c in documents.columns if c != column]
+    rows = documents.select(
+        *others, F.posexplode(F.coalesce(wrapped, plain)).alias("position", "item")
+    )
+    is_object = F.startswith(F.ltrim("item"), F.lit("{")) & F.try_parse_json("item").isNotNull()
+    text = F.coalesce(F.get_json_object("item", "$.text"), F.lit(""))
+    return rows.select(
+        *others, "position", F.when(is_object, text).otherwise(F.col("item")).alias("text")
+    )
+
+
+def scan_message_json(spark: SparkSession, path: str) -> DataFrame:
+    """Batch requests from files that hold one JSON document each."""
+    return parse_message_json(spark.read.text(path, wholetext=True))
 
 
 def scan_annotations(spark: SparkSession, path: str) -> DataFrame:

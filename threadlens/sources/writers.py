@@ -17,7 +17,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     """Parquet by default; CSV with header and doubled quotes as exchange format."""
     writer = df.write.mode(mode)
     if fmt == "csv":
-        writer = writer.options(header=True, escape='"', quote='"')
+        writer = writer.options(
+            header=True,
+            escape='"',
+            quote='"',
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        )
     writer.format(fmt).save(path)
 
 
