@@ -32,7 +32,7 @@ concat(
   CASE WHEN {N} % 7 = 2 THEN 'RT @someuser: ' ELSE '' END,
   CASE WHEN {N} % 5 = 1 THEN '@{BRAND} @friend_1 ' ELSE '' END,
   CASE WHEN {N} % 12 = 3 THEN 'item ' ELSE '' END,
-  CASE WHEN {N} % 31 = 12 THEN upper(text)
+  CASE WHEN {N} % 31 = 12 THEN upper(replace(text, 'ß', 'ss'))
        WHEN {N} % 37 = 0 THEN ''
        WHEN {N} % 41 = 5 THEN 'ok'
        WHEN {N} % 43 = 7 THEN 'This tweet has been deleted'
