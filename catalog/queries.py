@@ -441,7 +441,7 @@ def tfidf_vocabulary(spark, sf):
 @query
 def tfidf_weights(spark, sf):
     docs = documents(spark, sf)
-    counts = ft.doc_terms(docs)
+    counts = materialize(ft.doc_terms(docs), "terms")
     vocab = ft.fit(counts, docs.count(), P.classifier_features, min_df=3, max_df=0.8, sublinear=True)
     return ft.weights(counts, vocab).withColumn("weight", F.round("weight", 6))
 

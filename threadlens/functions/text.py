@@ -93,13 +93,13 @@ def ngrams(words: Column, n: int) -> Column:
     """All runs of ``n`` neighbouring words, joined by a space."""
     if n == 1:
         return words
-    # arrays shifted by 0..n-1 and zipped: linear in the number of words
-    size = F.size(words)
-    shifted = [F.slice(words, i + 1, F.greatest(size - (n - 1), F.lit(0))) for i in range(n)]
-    return F.transform(
-        F.arrays_zip(*[s.alias(f"w{i}") for i, s in enumerate(shifted)]),
-        lambda z: F.concat_ws(" ", *[z[f"w{i}"] for i in range(n)]),
-    )
+    size = F.size(words) - (n - 1)
+    out = F.slice(words, 1, F.greatest(size, F.lit(0)))
+    for i in range(1, n):
+        # pairwise zip of equally long slices: linear in the number of words
+        tail = F.slice(words, i + 1, F.greatest(size, F.lit(0)))
+        out = F.zip_with(out, tail, lambda a, b: F.concat(a, F.lit(" "), b))
+    return out
 
 
 def caps_heavy(text: Column) -> Column:

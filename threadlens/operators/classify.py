@@ -22,11 +22,12 @@ from threadlens.sources.schemas import resolve_column
 from threadlens.sources.tables import materialize, write_table
 
 
-def as_vectors(sparse: DataFrame, size: int, keep: list[str]) -> DataFrame:
+def as_vectors(sparse: DataFrame, size: int, n_rows: int, keep: list[str]) -> DataFrame:
     """(indices, values) columns as a written table with an ML vector column.
 
     A vector column is stored as the struct below, so the table is written with
-    the struct and read with the vector type.  Training passes over it many times.
+    the struct and read with the vector type.  Training passes over it many times;
+    tiny tables are read by few tasks, large ones keep all their partitions.
     """
     stored = sparse.select(
         *keep,
@@ -41,7 +42,8 @@ def as_vectors(sparse: DataFrame, size: int, keep: list[str]) -> DataFrame:
     schema = T.StructType(
         [f for f in stored.schema.fields if f.name in keep] + [T.StructField("features", VectorUDT())]
     )
-    return sparse.sparkSession.read.schema(schema).parquet(path)
+    vectors = sparse.sparkSession.read.schema(schema).parquet(path)
+    return vectors.coalesce(max(1, n_rows // 2_500))
 
 
 @dataclass(frozen=True)
@@ -73,28 +75,24 @@ def train(df: DataFrame, p: P.Params) -> IntentModel:
     rows = materialize(df.select("doc_id", "text", "label"), "training")
     n_docs = rows.count()
     counts = materialize(features.doc_terms(rows, ngram_max=p.ngram_max), "training-terms")
-    vocab = features.indexed(features.fit(counts, n_docs, p.classifier_features, sublinear=True))
+    vocab = features.fit(counts, n_docs, p.classifier_features, sublinear=True, index=True)
     # labels are a closed set, a few dozen at most
     classes = [r["label"] for r in rows.select("label").distinct().orderBy("label").collect()]
     label_ids = spark.createDataFrame(list(enumerate(map(str, classes))), "y int, label string")
-    sparse = features.sparse_rows(features.weights(counts, vocab, ("idx",)))
+    sparse = features.sparse_rows(counts, vocab)
     labelled = (
-        rows.select("doc_id", "label")
-        .join(sparse, "doc_id", "left")
+        features.with_empty_rows(sparse, rows.select("doc_id", "label"))
         .join(F.broadcast(label_ids), "label")
-        .select(
-            F.col("y").cast("double").alias("y"),
-            F.coalesce("indices", F.expr("cast(array() as array<int>)")).alias("indices"),
-            F.coalesce("values", F.expr("cast(array() as array<double>)")).alias("values"),
-        )
+        .select(F.col("y").cast("double").alias("y"), "indices", "values")
     )
     size = vocab.table.count()
-    vectors = as_vectors(labelled, size, ["y"])
+    vectors = as_vectors(labelled, size, n_docs, ["y"])
     estimator = LogisticRegression(
         featuresCol="features",
         labelCol="y",
         family="multinomial",
         maxIter=p.classifier_iterations,
+        tol=p.classifier_tolerance,
         regParam=1.0 / (p.inverse_regularization * n_docs),
         elasticNetParam=0.0,
         standardization=False,

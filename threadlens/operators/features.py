@@ -28,11 +28,12 @@ def doc_terms(
     Documents are distributed by id before they are split, so that counting and
     every later step per document runs without moving the exploded terms.
     """
-    words = tx.terms(F.coalesce(F.col(text_col), F.lit("")), stop_words)
-    spread = docs.select(F.col(id_col).alias("doc_id"), words.alias("w")).repartition("doc_id")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    spread = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).repartition("doc_id")
+    words = spread.select("doc_id", tx.once(tx.terms(F.col("text"), stop_words)).alias("w"))
     grams = [tx.ngrams(F.col("w"), n) for n in range(1, ngram_max + 1)]
     return (
-        spread.select("doc_id", F.explode(F.concat(*grams)).alias("term"))
+        words.select("doc_id", F.explode(F.concat(*grams)).alias("term"))
         .groupBy("doc_id", "term")
         .agg(F.count("*").alias("tf"))
     )
@@ -79,45 +80,58 @@ def fit(
     min_df: int = 1,
     max_df: float = 1.0,
     sublinear: bool = False,
+    index: bool = False,
 ) -> Vocabulary:
-    """Fit once and keep the vocabulary as a written table."""
+    """Fit once and keep the vocabulary as a written table.
+
+    With ``index`` the terms also get a dense number ``idx`` in term order.  This
+    needs a size cap, because the terms are sorted as one array.
+    """
     table = vocabulary(counts, n_docs, max_features, min_df, max_df)
+    if index:
+        if max_features is None:
+            raise ValueError("an index needs max_features")
+        entries = F.array_sort(F.collect_list(F.struct("term", "df", "tf", "idf")))
+        numbered = table.agg(entries.alias("e")).select(F.posexplode("e").alias("idx", "t"))
+        table = numbered.select("t.term", "t.df", "t.tf", "t.idf", "idx")
     return Vocabulary(materialize(table, "vocabulary"), max_features, sublinear, n_docs)
 
 
-def weights(counts: DataFrame, vocab: Vocabulary, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, term, weight) of unit length; unknown terms are dropped.
-
-    ``keep`` names further vocabulary columns to carry along.
-    """
+def _raw_weights(counts: DataFrame, vocab: Vocabulary, *columns: str) -> DataFrame:
+    """(doc_id, columns, raw): term frequency times idf before scaling."""
     tf = F.lit(1.0) + F.log("tf") if vocab.sublinear else F.col("tf").cast("double")
-    known = vocab.bounded_table().select("term", "idf", *keep)
-    raw = counts.join(known, "term").select("doc_id", "term", (tf * F.col("idf")).alias("raw"), *keep)
+    known = vocab.bounded_table().select("term", "idf", *[c for c in columns if c != "term"])
+    return counts.join(known, "term").select("doc_id", *columns, (tf * F.col("idf")).alias("raw"))
+
+
+def weights(counts: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """(doc_id, term, weight) of unit length; unknown terms are dropped."""
+    raw = _raw_weights(counts, vocab, "term")
     # a document's terms come from one row, so this window is bounded by its text
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc_id")))
-    return raw.select("doc_id", "term", (F.col("raw") / norm).alias("weight"), *keep)
+    return raw.select("doc_id", "term", (F.col("raw") / norm).alias("weight"))
 
 
-def indexed(vocab: Vocabulary) -> Vocabulary:
-    """The same vocabulary with a dense index column in term order.
+def sparse_rows(counts: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """(doc_id, indices, values): unit-length rows of an indexed vocabulary.
 
-    Only for vocabularies with a size cap: the terms are sorted as one array.
+    One row per document with a known term, indices ascending.
     """
-    if vocab.max_features is None:
-        raise ValueError("indexing needs a vocabulary with max_features")
-    entries = F.array_sort(F.collect_list(F.struct("term", "df", "tf", "idf")))
-    table = vocab.table.agg(entries.alias("e")).select(F.posexplode("e").alias("idx", "t"))
-    table = table.select("t.term", "t.df", "t.tf", "t.idf", "idx")
-    return Vocabulary(
-        materialize(table, "vocabulary-index"), vocab.max_features, vocab.sublinear, vocab.n_docs
+    pairs = F.array_sort(F.collect_list(F.struct("idx", "raw")))
+    rows = _raw_weights(counts, vocab, "idx").groupBy("doc_id").agg(
+        pairs.alias("p"), F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm")
+    )
+    return rows.select(
+        "doc_id",
+        F.col("p.idx").alias("indices"),
+        F.transform("p.raw", lambda x: x / F.col("norm")).alias("values"),
     )
 
 
-def sparse_rows(weighted: DataFrame) -> DataFrame:
-    """(doc_id, indices, values) with one row per document, indices ascending."""
-    pairs = F.array_sort(F.collect_list(F.struct("idx", "weight")))
-    return weighted.groupBy("doc_id").agg(pairs.alias("p")).select(
-        "doc_id",
-        F.transform("p", lambda x: x["idx"]).alias("indices"),
-        F.transform("p", lambda x: x["weight"]).alias("values"),
+def with_empty_rows(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """One sparse row per id; documents without a known term get an empty one."""
+    empty_i = F.expr("cast(array() as array<int>)")
+    empty_v = F.expr("cast(array() as array<double>)")
+    return ids.join(rows, "doc_id", "left").withColumns(
+        {"indices": F.coalesce("indices", empty_i), "values": F.coalesce("values", empty_v)}
     )

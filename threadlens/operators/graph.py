@@ -87,8 +87,10 @@ def expand_brand(tweets: DataFrame, p: Params) -> tuple[DataFrame, int]:
     Only the ids found in the previous round are joined with the neighbour list,
     and every round's new ids are written out, so the plan does not grow.
     """
-    ids = tweets.select("tweet_id").distinct()
-    steps = materialize(_neighbours(tweets), "reply-steps")
+    ids = tweets.select("tweet_id")
+    # steps to ids outside the table lead nowhere
+    steps = _neighbours(tweets).join(ids.withColumnRenamed("tweet_id", "dst"), "dst", "left_semi")
+    steps = materialize(steps.select("src", "dst"), "reply-steps")
     frontier = materialize(brand_seed(tweets, p), "frontier")
     kept = frontier
     rounds = 0
@@ -99,7 +101,6 @@ def expand_brand(tweets: DataFrame, p: Params) -> tuple[DataFrame, int]:
             .select(F.col("dst").alias("tweet_id"))
             .distinct()
             .join(kept, "tweet_id", "left_anti")
-            .join(ids, "tweet_id", "left_semi")
         )
         frontier = materialize(found, "frontier")
         if frontier.isEmpty():
@@ -158,13 +159,16 @@ def thread_members(tweets: DataFrame, max_depth: int) -> DataFrame:
     pointer by the pointer of the message it points to, so a path of length n is
     resolved in log2(n) rounds.  Messages deeper than the limit, and messages on
     reply cycles, never reach a root within the limit and drop out.
+
+    A message with very many answers makes its id a hot join key.  Both join
+    inputs are plain written tables, which lets adaptive execution split it.
     """
-    parents = parent_edges(tweets)
+    parents = tweets.select(
+        "tweet_id", ustrip(F.col("in_response_to_tweet_id")).alias("parent_id")
+    )
     ids = tweets.select(F.col("tweet_id").alias("parent_id"), F.lit(True).alias("known"))
     pointers = (
-        tweets.select("tweet_id")
-        .join(parents, "tweet_id", "left")
-        .join(ids, "parent_id", "left")
+        parents.join(ids, "parent_id", "left")
         .select(
             "tweet_id",
             F.when(F.col("known"), F.col("parent_id")).otherwise(F.col("tweet_id")).alias("ptr"),
@@ -174,10 +178,7 @@ def thread_members(tweets: DataFrame, max_depth: int) -> DataFrame:
         .filter(F.col("depth") <= max_depth)
     )
     pointers = materialize(pointers, "pointers")
-    while True:
-        open_rows = pointers.filter("NOT resolved")
-        if open_rows.isEmpty():
-            break
+    while not pointers.filter("NOT resolved").isEmpty():
         target = pointers.select(
             F.col("tweet_id").alias("ptr"),
             F.col("ptr").alias("next_ptr"),
@@ -185,7 +186,8 @@ def thread_members(tweets: DataFrame, max_depth: int) -> DataFrame:
             F.col("resolved").alias("next_resolved"),
         )
         moved = (
-            open_rows.join(target, "ptr")
+            pointers.filter("NOT resolved")
+            .join(target, "ptr")
             .select(
                 "tweet_id",
                 F.col("next_ptr").alias("ptr"),
@@ -206,10 +208,13 @@ def build_threads(tweets: DataFrame, p: Params, unique_ids: bool = False) -> Dat
     """
     if not unique_ids:
         tweets = latest_per_id(tweets)
-    members = thread_members(tweets, p.max_thread_depth)
-    roots = members.filter("depth = 0").select("tweet_id").join(
-        tweets.select("tweet_id", "created_at"), "tweet_id"
+    # every round reads the ids and pointers, only the last step the messages
+    slim = materialize(
+        tweets.select("tweet_id", "created_at", "in_response_to_tweet_id"), "reply-pointers"
     )
+    members = thread_members(slim, p.max_thread_depth)
+    starts = members.filter("depth = 0").select("tweet_id")
+    roots = slim.select("tweet_id", "created_at").join(starts, "tweet_id")
     numbers = numbered(roots, ["created_at", "tweet_id"], "_n").select(
         F.col("tweet_id").alias("root_id"),
         F.format_string("conv_%06d", "_n").alias("conversation_id"),

@@ -116,16 +116,6 @@ def dense_topk(queries: DataFrame, corpus: DataFrame, k: int, block_rows: int) -
     return _blocked_topk(queries, corpus, ["vector"], k, block_rows, _dense_scores)
 
 
-def _with_empty(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """One row per id; ids without any known term get an empty vector."""
-    empty_i, empty_v = F.expr("cast(array() as array<int>)"), F.expr("cast(array() as array<double>)")
-    return ids.join(rows, "doc_id", "left").select(
-        "doc_id",
-        F.coalesce("indices", empty_i).alias("indices"),
-        F.coalesce("values", empty_v).alias("values"),
-    )
-
-
 @dataclass(frozen=True)
 class TextIndex:
     """A fitted vocabulary and the written sparse rows of a corpus."""
@@ -138,9 +128,8 @@ class TextIndex:
 def build_index(corpus: DataFrame, max_features: int, ngram_max: int = 2) -> TextIndex:
     """Index a corpus (doc_id, text)."""
     counts = materialize(features.doc_terms(corpus, ngram_max=ngram_max), "corpus-terms")
-    vocab = features.indexed(features.fit(counts, corpus.count(), max_features))
-    rows = features.sparse_rows(features.weights(counts, vocab, ("idx",)))
-    rows = _with_empty(rows, corpus.select("doc_id"))
+    vocab = features.fit(counts, corpus.count(), max_features, index=True)
+    rows = features.with_empty_rows(features.sparse_rows(counts, vocab), corpus.select("doc_id"))
     return TextIndex(vocab, materialize(rows, "corpus-rows"), ngram_max)
 
 
@@ -154,8 +143,9 @@ def search(queries: DataFrame, index: TextIndex, k: int, block_rows: int) -> Dat
         F.col("query_id").alias("doc_id"), tx.ustrip(F.col("text")).alias("text")
     )
     counts = features.doc_terms(asked, ngram_max=index.ngram_max)
-    rows = features.sparse_rows(features.weights(counts, index.vocab, ("idx",)))
-    q = _with_empty(rows, asked.select("doc_id")).withColumnRenamed("doc_id", "query_id")
+    rows = features.sparse_rows(counts, index.vocab)
+    q = features.with_empty_rows(rows, asked.select("doc_id"))
+    q = materialize(q.withColumnRenamed("doc_id", "query_id"), "query-rows")
     return _blocked_topk(q, index.rows, ["indices", "values"], k, block_rows, _sparse_scores)
 
 

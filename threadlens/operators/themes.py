@@ -45,48 +45,36 @@ def discover_themes(
     counts = materialize(
         features.doc_terms(docs, ngram_max=p.ngram_max, stop_words=P.STOP_WORDS), "opening-terms"
     )
-    vocab = features.indexed(
-        features.fit(counts, n, max_features, min_df=min_df, max_df=max_df, sublinear=True)
+    vocab = features.fit(
+        counts, n, max_features, min_df=min_df, max_df=max_df, sublinear=True, index=True
     )
-    weighted = features.weights(counts, vocab, ("idx",))
-    sparse = docs.select("doc_id").join(features.sparse_rows(weighted), "doc_id", "left").select(
-        "doc_id",
-        F.coalesce("indices", F.expr("cast(array() as array<int>)")).alias("indices"),
-        F.coalesce("values", F.expr("cast(array() as array<double>)")).alias("values"),
+    sparse = materialize(
+        features.with_empty_rows(features.sparse_rows(counts, vocab), docs.select("doc_id")), "theme-rows"
     )
     size = vocab.table.count()
-    vectors = as_vectors(sparse, size, ["doc_id"])
+    vectors = as_vectors(sparse, size, n, ["doc_id"])
     model = KMeans(k=k, seed=p.seed, featuresCol="features", predictionCol="cluster").fit(vectors)
 
     # squared distance |x|^2 - 2 x.c + |c|^2 with the centres as a small table
-    centres = [
-        (int(c), int(j), float(w))
-        for c, centre in enumerate(model.clusterCenters())
-        for j, w in enumerate(centre)
-        if w != 0.0
-    ]
-    centre_table = spark.createDataFrame(centres, "cluster int, idx int, c double")
-    norms = centre_table.groupBy("cluster").agg(F.sum(F.col("c") * F.col("c")).alias("c2"))
+    centres = [(c, [float(w) for w in centre]) for c, centre in enumerate(model.clusterCenters())]
+    centre_rows = spark.createDataFrame(centres, "cluster int, centre array<double>")
     assigned = materialize(model.transform(vectors).select("doc_id", "cluster"), "assignments")
-    products = (
-        weighted.join(assigned, "doc_id")
-        .join(F.broadcast(centre_table), ["cluster", "idx"], "left")
-        .groupBy("doc_id")
-        .agg(
-            F.sum(F.col("weight") * F.coalesce("c", F.lit(0.0))).alias("xc"),
-            F.sum(F.col("weight") * F.col("weight")).alias("x2"),
-        )
+    dot = F.aggregate(
+        F.arrays_zip("indices", "values"),
+        F.lit(0.0),
+        lambda acc, x: acc + x["values"] * F.get("centre", x["indices"]),
     )
-    zero = F.lit(0.0)
+
+    def squares(column: str):
+        return F.aggregate(column, F.lit(0.0), lambda acc, x: acc + x * x)
+
     assignments = (
-        assigned.join(products, "doc_id", "left")
-        .join(F.broadcast(norms), "cluster", "left")
+        assigned.join(sparse, "doc_id")
+        .join(F.broadcast(centre_rows), "cluster")
         .select(
             "doc_id",
             "cluster",
-            F.greatest(
-                F.coalesce("x2", zero) - 2 * F.coalesce("xc", zero) + F.coalesce("c2", zero), zero
-            ).alias("distance"),
+            F.greatest(squares("values") - 2 * dot + squares("centre"), F.lit(0.0)).alias("distance"),
         )
     )
     sizes = (
@@ -96,7 +84,7 @@ def discover_themes(
         .withColumn("frequency_pct", F.round(F.col("size") * 100.0 / n, 1))
     )
     words = (
-        centre_table.filter("c > 0")
+        centre_rows.select("cluster", F.posexplode("centre").alias("idx", "c")).filter("c > 0")
         .join(vocab.bounded_table().select("idx", F.col("term").alias("word")), "idx")
         .withColumn("rank", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("c"), "word")))
         .filter(F.col("rank") <= top_terms)
