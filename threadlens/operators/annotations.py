@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from threadlens import params as P
 from threadlens.functions import text as tx
+from threadlens.operators.common import beside
 from threadlens.operators.ordering import first_per_key
 from threadlens.sources.schemas import ANNOTATION_COLUMNS, select_known
 
@@ -112,8 +113,7 @@ def annotation_validation(records: DataFrame, p: P.Params) -> DataFrame:
             ),
         ),
     ]
-    # one row on both sides
-    return totals.join(duplicates, F.lit(True)).select(
+    return beside(totals, duplicates).select(
         ((F.col("record_errors") == 0) & (F.col("duplicate_ids") == 0)).alias("is_valid"),
         "total_records",
         "valid_records",

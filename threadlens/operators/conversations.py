@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions import text as tx
+from threadlens.operators.common import beside
 from threadlens.operators.graph import message_sequence, thread_sizes
 from threadlens.operators.ordering import (
     HotGroups,
@@ -37,13 +38,22 @@ def _percentiles(sizes: DataFrame, column: str, points: dict[str, float], digits
 
 
 def overview_counts(messages: DataFrame) -> DataFrame:
-    """One row: conversations, messages per role, distinct customers."""
-    customer = F.col("role") == "customer"
-    return messages.agg(
+    """One row: conversations, messages per role, distinct customers.
+
+    Messages are first combined per (conversation, author, role), so the distinct
+    counts run on few rows.
+    """
+    customer, brand, n = F.col("role") == "customer", F.col("role") == "brand", F.col("n")
+    sizes = messages.groupBy("conversation_id", "author_id", "role").agg(F.count("*").alias("n"))
+
+    def total(condition):
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+
+    return sizes.agg(
         F.count_distinct("conversation_id").alias("total_conversations"),
-        F.count("*").alias("total_messages"),
-        F.count_if(customer).alias("customer_messages"),
-        F.count_if(F.col("role") == "brand").alias("brand_replies"),
+        total(F.lit(True)).alias("total_messages"),
+        total(customer).alias("customer_messages"),
+        total(brand).alias("brand_replies"),
         F.count_distinct(F.when(customer, F.col("author_id"))).alias("unique_customers"),
     )
 
@@ -368,12 +378,7 @@ def preprocessing_summary(final: DataFrame, raw_rows: DataFrame, removals: DataF
         *[F.sum(F.when(F.col("stage") == s, F.col("removed"))).alias(f"removed_{s}") for s in stages]
     )
     raw = raw_rows.agg(F.count("*").alias("raw_total_rows"))
-    # three one-row tables side by side
-    return (
-        raw.join(threads, F.lit(True))
-        .join(removed, F.lit(True))
-        .withColumn(
-            "retention_rate",
-            tx.percentage(F.col("final_total_messages"), F.col("raw_total_rows"), 2),
-        )
+    return beside(beside(raw, threads), removed).withColumn(
+        "retention_rate",
+        tx.percentage(F.col("final_total_messages"), F.col("raw_total_rows"), 2),
     )

@@ -140,7 +140,10 @@ def with_role(tweets: DataFrame, p: Params) -> DataFrame:
 
 def latest_per_id(tweets: DataFrame) -> DataFrame:
     """One row per tweet id, the latest when an id occurs repeatedly."""
-    return first_per_key(tweets, ["tweet_id"], [F.col("created_at").desc_nulls_last()])
+    order = [F.col("created_at").desc_nulls_last()]
+    # further columns make the choice the same in every evaluation
+    order += nulls_last(["in_response_to_tweet_id", "response_tweet_id", "author_id", "text"])
+    return first_per_key(tweets, ["tweet_id"], order)
 
 
 def thread_roots(tweets: DataFrame) -> DataFrame:
@@ -167,8 +170,11 @@ def thread_members(tweets: DataFrame, max_depth: int) -> DataFrame:
         "tweet_id", ustrip(F.col("in_response_to_tweet_id")).alias("parent_id")
     )
     ids = tweets.select(F.col("tweet_id").alias("parent_id"), F.lit(True).alias("known"))
+    # messages without a parent pointer need no look-up and would all share a null key
+    starts = parents.filter("parent_id IS NULL").withColumn("known", F.lit(None).cast("boolean"))
+    answers = parents.filter("parent_id IS NOT NULL").join(ids, "parent_id", "left")
     pointers = (
-        parents.join(ids, "parent_id", "left")
+        starts.unionByName(answers)
         .select(
             "tweet_id",
             F.when(F.col("known"), F.col("parent_id")).otherwise(F.col("tweet_id")).alias("ptr"),

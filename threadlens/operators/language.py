@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from threadlens import params as P
 from threadlens.functions import text as tx
+from threadlens.operators.common import beside
 
 
 def customer_texts(messages: DataFrame) -> DataFrame:
@@ -84,7 +85,7 @@ def emoji_usage(messages: DataFrame) -> DataFrame:
         F.count_if(F.size("emoji") > 0).alias("messages_with_emoji"), F.count("*").alias("_total")
     ).withColumn("emoji_pct", tx.percentage(F.col("messages_with_emoji"), F.col("_total")))
     distinct = emoji_counts(messages).agg(F.count("*").alias("total_unique_emojis"))
-    return usage.drop("_total").join(distinct, F.lit(True))  # one row each
+    return beside(usage.drop("_total"), distinct)
 
 
 def keyword_themes(texts: DataFrame) -> DataFrame:

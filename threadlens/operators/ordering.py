@@ -72,7 +72,8 @@ def numbered(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
 
 def _split(df: DataFrame, key: str, hot: HotGroups) -> tuple[DataFrame, DataFrame]:
     keys = F.broadcast(hot.table.select(key))
-    return df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi")
+    bounded, large = df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi")
+    return bounded.select(*df.columns), large.select(*df.columns)
 
 
 def with_sequence(
@@ -126,25 +127,25 @@ def with_previous(
     return bounded.withColumns(windowed).unionByName(joined.drop("_g"))
 
 
-def drop_short_groups(
-    df: DataFrame, key: str, row_id: str, min_rows: int, hot: HotGroups
-) -> DataFrame:
-    """Rows of the groups that have at least ``min_rows`` rows.
+def drop_short_groups(df: DataFrame, key: str, min_rows: int, hot: HotGroups) -> DataFrame:
+    """Rows of the groups that have at least ``min_rows`` rows; null keys stay.
 
-    The short groups are removed with an anti join.  Rows of hot groups carry a
-    salt and are spread over the join's tasks; a hot group that became short by
-    earlier filters is copied once per salt.
+    Bounded groups are counted by a window, so the input is computed once and
+    leaves partitioned by the key.  Hot groups are counted by aggregation.
     """
-    short = (
-        df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") < min_rows).select(key)
-    )
+
+    def counted(rows: DataFrame) -> DataFrame:
+        size = F.count("*").over(Window.partitionBy(key))
+        keep = F.col(key).isNull() | (F.col("_n") >= min_rows)
+        return rows.withColumn("_n", size).filter(keep).drop("_n")
+
     if hot.table is None:
-        return df.join(short, key, "left_anti")
-    return (
-        _salted_rows(df, key, row_id, hot)
-        .join(_salted_copies(short, key, hot), [key, "_salt"], "left_anti")
-        .drop("_salt")
-    )
+        return counted(df)
+    bounded, large = _split(materialize(df, "hot-filter"), key, hot)
+    kept = large.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_rows)
+    # one row per hot group
+    large = large.join(F.broadcast(kept.select(key)), key, "left_semi")
+    return counted(bounded).unionByName(large)
 
 
 def join_groups(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from threadlens import params as P
 from threadlens.functions import text as tx
+from threadlens.operators.common import beside
 from threadlens.operators.ordering import (
     HotGroups,
     drop_short_groups,
@@ -66,9 +67,7 @@ def quality_filter(messages: DataFrame, p: P.Params, hot: HotGroups | None = Non
     """Messages that pass all rules, in conversations that stay long enough."""
     hot = hot or find_hot_groups(messages, "conversation_id", p.hot_group_rows)
     passed = _without_duplicates(messages.filter(removal_reason(p).isNull()), p)
-    return drop_short_groups(
-        passed, "conversation_id", "tweet_id", p.min_thread_length, hot
-    )
+    return drop_short_groups(passed, "conversation_id", p.min_thread_length, hot)
 
 
 def quality_removals(messages: DataFrame, p: P.Params) -> DataFrame:
@@ -103,7 +102,6 @@ def quality_removals(messages: DataFrame, p: P.Params) -> DataFrame:
     stages.append(("short_conversations", "short_conversations"))
     stages.append(("short_conversations_threads", "short_conversations_threads"))
     pairs = ", ".join(f"'{name}', {i}L, {expr}" for i, (name, expr) in enumerate(stages))
-    # both sides are one row
-    return row_level.join(after, F.lit(True)).selectExpr(
+    return beside(row_level, after).selectExpr(
         f"stack({len(stages)}, {pairs}) AS (stage, position, removed)"
     )

@@ -33,12 +33,12 @@ def preprocess(tweets: DataFrame, p: Params) -> Preprocessed:
     """Filter to the brand, build threads, clean, filter, derive both tables.
 
     Cleaning comes before the quality rules, so a message that is only a URL
-    counts as empty.  Threads and final messages are written once each because
-    several results are derived from them.
+    counts as empty.  Brand rows, cleaned and final messages are written once each
+    because several steps read them.
     """
-    threads = materialize(build_threads(filter_brand(tweets, p), p), "threads")
-    hot = find_hot_groups(threads, "conversation_id", p.hot_group_rows)
-    cleaned = clean_messages(threads, p)
+    selected = materialize(filter_brand(tweets, p), "brand-rows")
+    cleaned = materialize(clean_messages(build_threads(selected, p), p), "cleaned")
+    hot = find_hot_groups(cleaned, "conversation_id", p.hot_group_rows)
     messages = materialize(quality_filter(cleaned, p, hot), "messages")
     removals = quality_removals(cleaned, p)
     return Preprocessed(
