@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from threadlens.functions import text as tx
 from threadlens.operators.common import beside
@@ -19,6 +20,7 @@ from threadlens.operators.ordering import (
     with_previous,
 )
 from threadlens.params import Params
+from threadlens.sources.tables import materialize
 
 
 def message_order() -> Column:
@@ -322,14 +324,21 @@ def conversation_table(
             "first",
         )
     )
-    totals = parts.groupBy(key).agg(
-        F.min("first").alias("first"),
-        F.sum("n").alias("num_messages"),
-        F.sum("n_customer").alias("num_customer_messages"),
-    )
-    joined = join_groups(
-        parts.select(key, "part", "full_conversation"), totals, key, "part", hot
-    )
+    totals = {
+        "first": F.min("first"),
+        "num_messages": F.sum("n"),
+        "num_customer_messages": F.sum("n_customer"),
+    }
+    if hot.table is None:
+        # at most bound / transcript_lines parts per conversation
+        whole = Window.partitionBy(key)
+        joined = parts.withColumns({c: agg.over(whole) for c, agg in totals.items()})
+    else:
+        parts = materialize(parts, "transcript-parts")
+        per_group = parts.groupBy(key).agg(*[agg.alias(c) for c, agg in totals.items()])
+        joined = join_groups(
+            parts.select(key, "part", "full_conversation"), per_group, key, "part", hot
+        )
     return joined.select(
         key,
         F.coalesce("first.text", F.lit("")).alias("opening_message"),

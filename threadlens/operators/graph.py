@@ -81,6 +81,12 @@ def _neighbours(tweets: DataFrame) -> DataFrame:
     )
 
 
+def reply_columns(tweets: DataFrame) -> DataFrame:
+    """The narrow columns of the reply graph, written once for all steps."""
+    columns = ["tweet_id", "author_id", "inbound", "response_tweet_id", "in_response_to_tweet_id"]
+    return materialize(tweets.select(*columns), "reply-columns")
+
+
 def expand_brand(tweets: DataFrame, p: Params) -> tuple[DataFrame, int]:
     """Ids reachable from the seed, and the number of rounds used.
 
@@ -111,14 +117,15 @@ def expand_brand(tweets: DataFrame, p: Params) -> tuple[DataFrame, int]:
 
 def filter_brand(tweets: DataFrame, p: Params) -> DataFrame:
     """All messages of conversations that involve the brand."""
-    kept, _ = expand_brand(require_brand(tweets, p), p)
+    kept, _ = expand_brand(require_brand(reply_columns(tweets), p), p)
     return tweets.join(kept, "tweet_id", "left_semi")
 
 
 def brand_filter_report(tweets: DataFrame, p: Params) -> DataFrame:
     """One row: sizes before and after, retention, rounds, brand/customer counts."""
-    kept, rounds = expand_brand(tweets, p)
-    flagged = tweets.join(kept.withColumn("kept", F.lit(True)), "tweet_id", "left")
+    slim = reply_columns(tweets)
+    kept, rounds = expand_brand(slim, p)
+    flagged = slim.join(kept.withColumn("kept", F.lit(True)), "tweet_id", "left")
     kept_flag = F.coalesce("kept", F.lit(False))
     brand = F.coalesce(is_brand("author_id", p.brand), F.lit(False))
     return flagged.agg(

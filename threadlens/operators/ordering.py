@@ -102,27 +102,31 @@ def with_previous(
     column: str,
     hot: HotGroups,
     lags: int = 1,
-    prefix: str = "prev",
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """Add ``column`` of the 1..``lags`` preceding rows of the same group."""
-    names = [f"{prefix}{i}" for i in range(1, lags + 1)]
+    """Add ``column`` of the preceding rows of the same group as prev1, prev2, ...
+
+    With ``within``, only rows that also agree in these columns are looked at.
+    """
+    names = [f"prev{i}" for i in range(1, lags + 1)]
     if not names:
         return df
-    window = Window.partitionBy(key).orderBy(*nulls_last(order))
+    window = Window.partitionBy(key, *within).orderBy(*nulls_last(order))
     windowed = {n: F.lag(column, i + 1).over(window) for i, n in enumerate(names)}
     if hot.table is None:
         return df.withColumns(windowed)
     bounded, large = _split(df, key, hot)
-    large = materialize(numbered(large, [key, *order], "_g"), "hot-ordered")
+    large = materialize(numbered(large, [key, *within, *order], "_g"), "hot-ordered")
+    group = F.struct(key, *within)
     for i, name in enumerate(names, start=1):
         # neighbours meet on the row position, which is unique, so no task
         # receives more than its share whatever the group sizes are
         before = large.select(
-            (F.col("_g") + i).alias("_g"), F.col(key).alias("_key"), F.col(column).alias(name)
+            (F.col("_g") + i).alias("_g"), group.alias("_key"), F.col(column).alias(name)
         )
         after = large if i == 1 else joined
         joined = after.join(before, "_g", "left").withColumn(
-            name, F.when(F.col("_key") == F.col(key), F.col(name))
+            name, F.when(F.col("_key") == group, F.col(name))
         ).drop("_key")
     return bounded.withColumns(windowed).unionByName(joined.drop("_g"))
 

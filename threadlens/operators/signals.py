@@ -23,23 +23,27 @@ def conversation_signals(
     hot = hot or find_hot_groups(messages, "conversation_id", p.hot_group_rows)
     key, customer = "conversation_id", F.col("role") == "customer"
     spans = max(k.count(" ") for words in p.signal_keywords.values() for k in words)
-    texts = messages.filter(customer).select(
-        key, "created_at", "tweet_id", F.lower(F.coalesce("text", F.lit(""))).alias("low")
+    texts = messages.select(
+        key, "created_at", "tweet_id", "role", F.lower(F.coalesce("text", F.lit(""))).alias("low")
     )
-    runs = with_previous(texts, key, ["created_at", "tweet_id"], "low", hot, lags=spans)
-    window = F.concat_ws(" ", *[F.col(f"prev{i}") for i in range(spans, 0, -1)], F.col("low"))
-    keyword_flags = runs.withColumn("run", window).groupBy(key).agg(
-        *[
-            F.bool_or(tx.contains_any(F.col("run"), words)).alias(category)
-            for category, words in p.signal_keywords.items()
-        ]
+    # the preceding messages of the same role, so brand messages do not intervene
+    runs = with_previous(
+        texts, key, ["created_at", "tweet_id"], "low", hot, lags=spans, within=["role"]
     )
-    structure = messages.groupBy(key).agg(
-        (F.count_if(customer) >= p.followup_messages).alias("repeated_followups"),
-        (F.max_by("role", message_order()) == "customer").alias("unresolved"),
+    run = F.concat_ws(" ", *[F.col(f"prev{i}") for i in range(spans, 0, -1)], F.col("low"))
+    return (
+        runs.withColumn("run", run)
+        .groupBy(key)
+        .agg(
+            (F.count_if(customer) >= p.followup_messages).alias("repeated_followups"),
+            (F.max_by("role", message_order()) == "customer").alias("unresolved"),
+            *[
+                F.bool_or(customer & tx.contains_any(F.col("run"), words)).alias(category)
+                for category, words in p.signal_keywords.items()
+            ],
+        )
+        .na.fill(False)
     )
-    # one row per conversation on both sides
-    return structure.join(keyword_flags, key, "left").na.fill(False)
 
 
 def keyword_signals(signals: DataFrame, p: Params, samples: int = 5) -> DataFrame:
