@@ -106,6 +106,12 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def conversation_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversation id of every message; reads no text."""
+    turns = read(spark, sf_dir, "conversations").filter("role <> 'system'")
+    return turns.select(F.format_string("conv_%06d", "conv_id").alias("conversation_id"))
+
+
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw layout: reply pointers instead of conversation ids.
 

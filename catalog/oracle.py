@@ -98,7 +98,7 @@ sizes AS MATERIALIZED (
 
 CUSTOMER = f"{PROCESSED}, cust AS (SELECT text FROM processed WHERE role = 'customer')"
 
-SWITCHES = f"""{PROCESSED},
+SWITCHES_CTE = """
 switches AS (
   SELECT conversation_id, count(*) AS total_messages,
          count(*) FILTER (role <> prev) AS role_switches,
@@ -106,6 +106,7 @@ switches AS (
   FROM (SELECT *, lag(role) OVER (PARTITION BY conversation_id ORDER BY seq) AS prev FROM processed)
   GROUP BY 1
 )"""
+SWITCHES = f"{PROCESSED},{SWITCHES_CTE}"
 
 OPENINGS = f"""{PROCESSED},
 openings AS (
@@ -558,6 +559,25 @@ def build() -> dict[str, str]:
       " UNION ALL ".join(f"SELECT '{f}' AS signal, count(*) FILTER ({f}) AS conversations, {pct(f'count(*) FILTER ({f})', 'count(*)')} AS pct FROM sig"
                          for f in [*cats, "repeated_followups", "unresolved"]))
 
+    def series(chart, label, count, pct_expr, tail):
+        return f"SELECT '{chart}' AS chart, {label} AS label, {count} AS count, {pct_expr} AS pct {tail}"
+
+    null = "NULL::DOUBLE"
+    charts = [
+        f"SELECT * FROM ({series('conversation_length', 'CAST(n AS VARCHAR)', 'count(*)', null, 'FROM sizes GROUP BY n ORDER BY n LIMIT 20')})",
+        *[series("messages_per_thread", q(name), f"count(*) FILTER (n BETWEEN {a} AND {b})", pct(f"count(*) FILTER (n BETWEEN {a} AND {b})", "count(*)"), "FROM sizes")
+          for a, b, name in buckets],
+        series("customer_vs_brand", "'Customer'", "sum(c)::BIGINT", null, "FROM sizes"),
+        series("customer_vs_brand", "'Brand'", "sum(b)::BIGINT", null, "FROM sizes"),
+        f"SELECT 'top_keywords', word, count, {null} FROM ({top(words('text'), 'word', 20)})",
+        series("turn_split", "'Single-turn'", "count(*) FILTER (n = 2)", pct("count(*) FILTER (n = 2)", "count(*)"), "FROM sizes"),
+        series("turn_split", "'Multi-turn'", "count(*) FILTER (n > 2)", pct("count(*) FILTER (n > 2)", "count(*)"), "FROM sizes"),
+        f"SELECT * FROM ({series('response_depth', 'CAST(depth AS VARCHAR)', 'count(*)', null, 'FROM switches GROUP BY depth ORDER BY depth LIMIT 12')})",
+        *[series("message_types", q(name), c, pct(c, "count(*)"), "FROM cust") for name, c in (("Questions", qu), ("Complaints", comp), ("Exclamations", ex))],
+        *[series("escalation_signals", q(f), f"count(*) FILTER ({f})", pct(f"count(*) FILTER ({f})", "count(*)"), "FROM sig") for f in [*cats, "repeated_followups", "unresolved"]],
+    ]
+    w("chart_series", f"{SIGNALS}, cust AS (SELECT text FROM processed WHERE role = 'customer'), {SWITCHES_CTE}", " UNION ALL ".join(charts))
+
     # features and retrieval
     w("doc_terms", TERMS, "SELECT doc_id, term, tf FROM terms")
     w("tfidf_vocabulary", f"{TERMS}, {vocabulary('vocab', 'terms', 'documents', P.retrieval_features)}",

@@ -25,7 +25,9 @@ from threadlens.operators import quality as qu
 from threadlens.operators import retrieval as rt
 from threadlens.operators import signals as sg
 from threadlens.operators import themes as th
+from threadlens.operators.ordering import find_hot_groups
 from threadlens.plans.preprocess import clean_and_filter
+from threadlens.plans import explore as explore_plan
 from threadlens.plans import scoring
 from threadlens.sources import readers, writers
 from threadlens.sources.tables import checkpoint_folder, materialize
@@ -44,8 +46,20 @@ def cleaned(spark, sf):
     return qu.clean_messages(ad.messages(spark, sf), P)
 
 
-def processed(spark, sf):
-    return clean_and_filter(ad.messages(spark, sf), P)
+def hot(spark, sf):
+    """Oversized conversations, from the id column of the source alone."""
+    ids = ad.conversation_ids(spark, sf)
+    return find_hot_groups(ids, "conversation_id", P.hot_group_rows)
+
+
+def processed(spark, sf, big=None):
+    return clean_and_filter(ad.messages(spark, sf), P, big or hot(spark, sf))
+
+
+def ordered(spark, sf, operator, *args):
+    """Apply an operator that orders conversations to the processed messages."""
+    big = hot(spark, sf)
+    return operator(processed(spark, sf, big), P, big, *args)
 
 
 def epoch(col: str):
@@ -58,7 +72,10 @@ def epoch(col: str):
 @query
 def scan_messages(spark, sf):
     """Round trip through the raw CSV layout, with weekday-style dates."""
-    date = F.concat(F.lit("Mon "), F.date_format("created_at", "MMM dd HH:mm:ss"), F.lit(" +0000 "), F.date_format("created_at", "yyyy"))
+    utc = F.to_utc_timestamp("created_at", F.current_timezone())
+    date = F.concat(
+        F.lit("Mon "), F.date_format(utc, "MMM dd HH:mm:ss"), F.lit(" +0000 "), F.date_format(utc, "yyyy")
+    )
     raw = ad.tweets(spark, sf).withColumn("created_at", date)
     path = f"{checkpoint_folder(spark).rstrip('/')}/threadlens/raw-{uuid.uuid4().hex}.csv"
     writers.write_table(raw, path, "csv")
@@ -100,7 +117,7 @@ def annotated_ids(spark, sf):
 @query
 def training_table(spark, sf):
     golden = an.golden_with_text(
-        an.golden_records(ad.annotations(spark, sf)), cv.conversation_table(processed(spark, sf), P)
+        an.golden_records(ad.annotations(spark, sf)), ordered(spark, sf, cv.conversation_table)
     )
     return readers.training_table(spark, golden, None)
 
@@ -180,7 +197,7 @@ def build_threads_events(spark, sf):
 
 @query
 def message_sequence(spark, sf):
-    return gr.message_sequence(ad.messages(spark, sf), P).select("conversation_id", "tweet_id", "seq")
+    return gr.message_sequence(ad.messages(spark, sf), P, hot(spark, sf)).select("conversation_id", "tweet_id", "seq")
 
 
 @query
@@ -231,7 +248,7 @@ def quality_removals(spark, sf):
 def preprocessing_summary(spark, sf):
     c = cleaned(spark, sf)
     return cv.preprocessing_summary(
-        qu.quality_filter(c, P), ad.messages(spark, sf), qu.quality_removals(c, P)
+        qu.quality_filter(c, P, hot(spark, sf)), ad.messages(spark, sf), qu.quality_removals(c, P)
     )
 
 
@@ -300,17 +317,17 @@ def brand_responsiveness(spark, sf):
 
 @query
 def role_switches(spark, sf):
-    return cv.role_switches(processed(spark, sf), P)
+    return ordered(spark, sf, cv.role_switches)
 
 
 @query
 def response_depth(spark, sf):
-    return cv.response_depth(cv.role_switches(processed(spark, sf), P))
+    return cv.response_depth(ordered(spark, sf, cv.role_switches))
 
 
 @query
 def depth_distribution(spark, sf):
-    return cv.depth_distribution(cv.role_switches(processed(spark, sf), P))
+    return cv.depth_distribution(ordered(spark, sf, cv.role_switches))
 
 
 @query
@@ -330,7 +347,7 @@ def evidence_pairs(spark, sf):
 
 @query
 def conversation_table(spark, sf):
-    return cv.conversation_table(processed(spark, sf), P).drop("part")
+    return ordered(spark, sf, cv.conversation_table).drop("part")
 
 
 # -- language ----------------------------------------------------------------
@@ -386,12 +403,12 @@ def document_keywords(spark, sf):
 
 def signals(spark, sf):
     """Written once: the reports below read it several times."""
-    return materialize(sg.conversation_signals(processed(spark, sf), P), "signals")
+    return materialize(ordered(spark, sf, sg.conversation_signals), "signals")
 
 
 @query
 def conversation_signals(spark, sf):
-    return sg.conversation_signals(processed(spark, sf), P)
+    return ordered(spark, sf, sg.conversation_signals)
 
 
 @query
@@ -419,6 +436,12 @@ def escalation_signal_table(spark, sf):
     return sg.escalation_signal_table(signals(spark, sf), P)
 
 
+@query
+def chart_series(spark, sf):
+    final = materialize(processed(spark, sf), "messages")
+    return explore_plan.chart_series(explore_plan.explore(final, P))
+
+
 # -- features, retrieval, classification -------------------------------------
 
 
@@ -614,16 +637,17 @@ def build_judge_prompt(spark, sf):
 
 @query
 def extract_brand_reply(spark, sf):
-    table = cv.conversation_table(processed(spark, sf), P)
+    table = ordered(spark, sf, cv.conversation_table)
     number = F.expr("CAST(substr(conversation_id, 6) AS BIGINT) % 10")
     transcript = F.when(number == 0, F.lit(None)).when(number == 1, F.lit("")).otherwise(F.col("full_conversation"))
     return table.select("conversation_id", tx.first_brand_reply(transcript, P.brand).alias("reply"))
 
 
 def fitted_scorer(spark, sf):
-    final = materialize(processed(spark, sf), "messages")
+    big = hot(spark, sf)
+    final = materialize(processed(spark, sf, big), "messages")
     golden = an.golden_with_text(
-        an.golden_records(ad.annotations(spark, sf)), cv.conversation_table(final, P)
+        an.golden_records(ad.annotations(spark, sf)), cv.conversation_table(final, P, big)
     )
     training = golden.select(F.col("conversation_id").alias("doc_id"), "text", F.col("primary_intent").alias("label"))
     evidence = cv.evidence_pairs(final).withColumnRenamed("conversation_id", "doc_id")
@@ -757,7 +781,7 @@ def annotation_queue(spark, sf):
 
 @query
 def golden_with_text(spark, sf):
-    table = cv.conversation_table(processed(spark, sf), P)
+    table = ordered(spark, sf, cv.conversation_table)
     golden = an.golden_records(ad.annotations(spark, sf))
     return an.golden_with_text(golden, table).select("conversation_id", "primary_intent", "text")
 
@@ -796,8 +820,9 @@ def predictions(spark, sf):
     """Three systems on the golden conversations, neighbour corpus: the evidence pairs."""
     from threadlens.plans.evaluate import predict_all
 
-    final = materialize(processed(spark, sf), "messages")
-    table = cv.conversation_table(final, P)
+    big = hot(spark, sf)
+    final = materialize(processed(spark, sf, big), "messages")
+    table = cv.conversation_table(final, P, big)
     golden = an.golden_with_text(an.golden_records(ad.annotations(spark, sf)), table)
     golden = materialize(
         golden.select("conversation_id", F.col("text").alias("customer_text"), "primary_intent", "escalation"), "golden"

@@ -310,7 +310,7 @@ def conversation_table(
         ordered.withColumn("part", F.expr(f"(seq - 1) DIV {p.transcript_lines}"))
         .groupBy(key, "part")
         .agg(
-            F.array_sort(F.collect_list(F.struct("seq", line.alias("line")))).alias("lines"),
+            F.sort_array(F.collect_list(F.struct("seq", line.alias("line")))).alias("lines"),
             F.count("*").alias("n"),
             F.count_if(customer).alias("n_customer"),
             F.min(F.when(customer, F.struct("seq", "text", "author_id"))).alias("first"),

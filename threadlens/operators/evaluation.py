@@ -33,7 +33,7 @@ def confusion_matrix(df: DataFrame, true: str, pred: str) -> DataFrame:
     """
     counts = confusion_counts(df, true, pred)
     labels = counts.select(F.explode(F.array("true_label", "pred_label")).alias("l")).agg(
-        F.array_sort(F.collect_set("l")).alias("labels")
+        F.sort_array(F.collect_set("l")).alias("labels")
     )
     grid = labels.select(F.explode("labels").alias("true_label"), "labels").select(
         "true_label", F.explode("labels").alias("pred_label")

@@ -91,7 +91,7 @@ def fit(
     if index:
         if max_features is None:
             raise ValueError("an index needs max_features")
-        entries = F.array_sort(F.collect_list(F.struct("term", "df", "tf", "idf")))
+        entries = F.sort_array(F.collect_list(F.struct("term", "df", "tf", "idf")))
         numbered = table.agg(entries.alias("e")).select(F.posexplode("e").alias("idx", "t"))
         table = numbered.select("t.term", "t.df", "t.tf", "t.idf", "idx")
     return Vocabulary(materialize(table, "vocabulary"), max_features, sublinear, n_docs)
@@ -117,7 +117,7 @@ def sparse_rows(counts: DataFrame, vocab: Vocabulary) -> DataFrame:
 
     One row per document with a known term, indices ascending.
     """
-    pairs = F.array_sort(F.collect_list(F.struct("idx", "raw")))
+    pairs = F.sort_array(F.collect_list(F.struct("idx", "raw")))
     rows = _raw_weights(counts, vocab, "idx").groupBy("doc_id").agg(
         pairs.alias("p"), F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm")
     )

@@ -177,7 +177,7 @@ def evidence_list(matches: DataFrame, evidence: DataFrame) -> DataFrame:
     return (
         matches.join(evidence, "doc_id")
         .groupBy("query_id")
-        .agg(F.array_sort(F.collect_list(item)).alias("evidence"))
+        .agg(F.sort_array(F.collect_list(item)).alias("evidence"))
     )
 
 

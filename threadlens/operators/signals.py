@@ -77,7 +77,7 @@ def _first_ids(hits: DataFrame, n: int) -> DataFrame:
         .withColumn("rn", F.row_number().over(window))
         .filter(F.col("rn") <= n)
         .groupBy("category")
-        .agg(F.array_join(F.array_sort(F.collect_list("conversation_id")), ",").alias("sample_conversations"))
+        .agg(F.array_join(F.sort_array(F.collect_list("conversation_id")), ",").alias("sample_conversations"))
     )
 
 

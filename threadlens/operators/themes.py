@@ -92,7 +92,7 @@ def discover_themes(
         .select("cluster", "rank", "word", F.round("c", 4).alias("weight"))
     )
     label = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct("rank", "word"))), lambda x: x["word"]), " / "
+        F.transform(F.sort_array(F.collect_list(F.struct("rank", "word"))), lambda x: x["word"]), " / "
     )
     labels = words.filter("rank <= 3").groupBy("cluster").agg(label.alias("theme_label"))
     clusters = sizes.join(labels, "cluster", "left").orderBy(F.desc("size"), "cluster")

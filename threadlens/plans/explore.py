@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +58,52 @@ def explore(messages: DataFrame, p: Params) -> dict[str, DataFrame]:
     }
 
 
+def chart_series(tables: dict[str, DataFrame], clusters: DataFrame | None = None) -> DataFrame:
+    """The numbers behind the charts as one tidy table (chart, label, count, pct).
+
+    Takes the result of ``explore`` and, if given, the theme clusters.  Charts show
+    the 20 shortest thread lengths, the top 20 words and the 12 smallest depths.
+    """
+
+    def series(chart: str, df: DataFrame, label: str, count: str, pct: str | None = None):
+        share = F.col(pct) if pct else F.lit(None).cast("double")
+        return df.select(
+            F.lit(chart).alias("chart"),
+            F.col(label).cast("string").alias("label"),
+            F.col(count).cast("bigint").alias("count"),
+            share.alias("pct"),
+        )
+
+    roles = tables["overview_counts"].selectExpr(
+        "stack(2, 'Customer', customer_messages, 'Brand', brand_replies) AS (label, count)"
+    )
+    turns = tables["turn_structure"].selectExpr(
+        "stack(2, 'Single-turn', single_turn_count, single_turn_pct, "
+        "'Multi-turn', multi_turn_count, multi_turn_pct) AS (label, count, pct)"
+    )
+    types = tables["message_types"].selectExpr(
+        "stack(3, 'Questions', questions, questions_pct, 'Complaints', complaints, complaints_pct, "
+        "'Exclamations', exclamation_msgs, exclamation_pct) AS (label, count, pct)"
+    )
+    lengths = tables["length_distribution"].orderBy("n").limit(20)
+    words = tables["top_keywords"].orderBy(F.desc("count"), "word").limit(20)
+    depths = tables["depth_distribution"].orderBy("depth").limit(12)
+    parts = [
+        series("conversation_length", lengths, "n", "conversations"),
+        series("messages_per_thread", tables["length_buckets"], "bucket", "conversations", "pct"),
+        series("customer_vs_brand", roles, "label", "count"),
+        series("top_keywords", words, "word", "count"),
+        series("turn_split", turns, "label", "count", "pct"),
+        series("response_depth", depths, "depth", "conversations"),
+        series("message_types", types, "label", "count", "pct"),
+        series("escalation_signals", tables["escalation_signal_table"], "signal", "conversations", "pct"),
+    ]
+    if clusters is not None:
+        named = clusters.withColumn("label", F.substring("theme_label", 1, 40))
+        parts.append(series("theme_sizes", named, "label", "size", "frequency_pct"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def themes(messages: DataFrame, p: Params) -> Themes:
     """Clusters of the opening messages."""
     openings = cv.opening_messages(messages).select(

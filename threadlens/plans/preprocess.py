@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from threadlens.operators.conversations import conversation_table, preprocessing_summary
 from threadlens.operators.graph import build_threads, filter_brand
-from threadlens.operators.ordering import find_hot_groups
+from threadlens.operators.ordering import HotGroups, find_hot_groups
 from threadlens.operators.quality import clean_messages, quality_filter, quality_removals
 from threadlens.params import Params
 from threadlens.sources import writers
@@ -23,9 +23,11 @@ class Preprocessed:
     summary: DataFrame
 
 
-def clean_and_filter(threads: DataFrame, p: Params) -> DataFrame:
+def clean_and_filter(
+    threads: DataFrame, p: Params, hot: HotGroups | None = None
+) -> DataFrame:
     """Cleaned, quality-filtered messages of a threaded message table."""
-    hot = find_hot_groups(threads, "conversation_id", p.hot_group_rows)
+    hot = hot or find_hot_groups(threads, "conversation_id", p.hot_group_rows)
     return quality_filter(clean_messages(threads, p), p, hot)
 
 
