@@ -1,5 +1,6 @@
 """Registered queries: keys, reference SQL on the smallest tables, scoring run."""
 
+import dataclasses
 import math
 
 import duckdb
@@ -88,3 +89,12 @@ def test_evaluation_run(spark, sf):
     human = wide.select("conversation_id", *[F.lit(4).alias(f"human_{d}") for d in ad.DIMENSIONS], F.lit(4.0).alias("human_overall"))
     tables = judge(wide, human, ad.PARAMS)
     assert tables["agreement_by_dimension"].count() == 5 and tables["judged"].count() == wide.count()
+
+
+@pytest.mark.parametrize("name", ["conversation_table", "conversation_signals", "role_switches", "build_threads_events"])
+def test_hot_group_bound_does_not_change_results(spark, sf, monkeypatch, name):
+    want = sorted(map(str, Q.QUERIES[name](spark, sf).collect()))
+    small = dataclasses.replace(ad.PARAMS, hot_group_rows=3)
+    monkeypatch.setattr(ad, "PARAMS", small)
+    monkeypatch.setattr(Q, "P", small)
+    assert sorted(map(str, Q.QUERIES[name](spark, sf).collect())) == want

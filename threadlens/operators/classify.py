@@ -101,7 +101,7 @@ def train(df: DataFrame, p: P.Params) -> IntentModel:
     matrix = model.coefficientMatrix.toArray()  # classes x capped vocabulary
     table = [(j, [float(x) for x in matrix[:, j]]) for j in range(matrix.shape[1])]
     coef = spark.createDataFrame(table, "idx int, coef array<double>")
-    coefficients = vocab.table.join(F.broadcast(coef), "idx").select("term", "idf", "coef")
+    coefficients = vocab.table.join(vocab.hinted(coef), "idx").select("term", "idf", "coef")
     return IntentModel(
         vocab,
         materialize(coefficients, "coefficients"),
@@ -115,8 +115,9 @@ def class_scores(messages: DataFrame, model: IntentModel) -> DataFrame:
     """(doc_id, scores array) for (doc_id, text) rows: linear scores per class."""
     counts = features.doc_terms(messages, ngram_max=model.ngram_max)
     tf = F.lit(1.0) + F.log("tf") if model.vocab.sublinear else F.col("tf").cast("double")
-    # the coefficient table has at most ``max_features`` rows
-    hits = counts.join(F.broadcast(model.coefficients), "term").withColumn("raw", tf * F.col("idf"))
+    hits = counts.join(model.vocab.hinted(model.coefficients), "term").withColumn(
+        "raw", tf * F.col("idf")
+    )
     k = len(model.classes)
     # the unit-length scaling is one factor per message, applied after the sum
     sums = hits.groupBy("doc_id").agg(

@@ -39,6 +39,9 @@ def doc_terms(
     )
 
 
+BROADCAST_TERMS = 100_000  # larger vocabularies are joined by shuffling
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Fitted terms: a table (term, df, tf, idf), its size bound and the corpus size."""
@@ -48,10 +51,10 @@ class Vocabulary:
     sublinear: bool
     n_docs: int
 
-    def bounded_table(self) -> DataFrame:
-        """The table, marked for broadcast only if its size has a fixed bound."""
-        bounded = self.max_features is not None and self.max_features <= 100_000
-        return F.broadcast(self.table) if bounded else self.table
+    def hinted(self, per_term: DataFrame) -> DataFrame:
+        """A table with one row per term, marked for broadcast if its size is capped."""
+        small = self.max_features is not None and self.max_features <= BROADCAST_TERMS
+        return F.broadcast(per_term) if small else per_term
 
 
 def vocabulary(
@@ -100,7 +103,8 @@ def fit(
 def _raw_weights(counts: DataFrame, vocab: Vocabulary, *columns: str) -> DataFrame:
     """(doc_id, columns, raw): term frequency times idf before scaling."""
     tf = F.lit(1.0) + F.log("tf") if vocab.sublinear else F.col("tf").cast("double")
-    known = vocab.bounded_table().select("term", "idf", *[c for c in columns if c != "term"])
+    extra = [c for c in columns if c != "term"]
+    known = vocab.hinted(vocab.table.select("term", "idf", *extra))
     return counts.join(known, "term").select("doc_id", *columns, (tf * F.col("idf")).alias("raw"))
 
 

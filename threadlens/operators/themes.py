@@ -85,7 +85,7 @@ def discover_themes(
     )
     words = (
         centre_rows.select("cluster", F.posexplode("centre").alias("idx", "c")).filter("c > 0")
-        .join(vocab.bounded_table().select("idx", F.col("term").alias("word")), "idx")
+        .join(vocab.table.select("idx", F.col("term").alias("word")), "idx")
         .withColumn("rank", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("c"), "word")))
         .filter(F.col("rank") <= top_terms)
         .join(sizes.select("cluster"), "cluster", "left_semi")
