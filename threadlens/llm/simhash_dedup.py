@@ -81,6 +81,11 @@ def block_masks(blocks: int, distance: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
+def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    # of signed numbers numpy would count the bits of the absolute value
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def _forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Links that connect what is connected at the distance among different fingerprints."""
     links, rest = [], fps
@@ -88,7 +93,7 @@ def _forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             one = queue.pop()
-            near = np.bitwise_count(rest ^ one) <= distance
+            near = _differing(rest, one) <= distance
             if near.any():
                 reached = rest[near]
                 links.extend((int(one), int(x)) for x in reached)
@@ -111,7 +116,7 @@ def _bucket_links(masks: int, distance: int, bucket_rows: int):
         for lag in range(1, SMALL_GROUP):
             if lag >= len(f):
                 break
-            near = (g[lag:] == g[:-lag]) & (np.bitwise_count(f[lag:] ^ f[:-lag]) <= distance)
+            near = (g[lag:] == g[:-lag]) & (_differing(f[lag:], f[:-lag]) <= distance)
             out_a.append(f[:-lag][near])
             out_b.append(f[lag:][near])
         for s, n in zip(starts[sizes > SMALL_GROUP], sizes[sizes > SMALL_GROUP]):
