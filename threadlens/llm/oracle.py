@@ -1,3 +1,58 @@
 """DuckDB SQL of the document queries that SQL can express on whole tables."""
 
 SQL: dict[str, str] = {}
+
+SQL["op3_exact_dedup"] = r"""
+WITH digests AS (
+    SELECT doc_id,
+           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+    FROM documents
+), ranked AS (
+    SELECT *,
+           min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
+           count(*) OVER (PARTITION BY text_sha256) AS group_size,
+           row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) AS n
+    FROM digests
+)
+SELECT doc_id, keep_id, group_size, n = 1 AS kept, text_sha256 FROM ranked
+"""
+
+SQL["op4_source_mixing"] = r"""
+WITH base AS (
+    SELECT doc_id, source,
+           md5('42|' || coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))) AS skey,
+           CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+    FROM documents
+), sizes AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+    FROM base GROUP BY source
+), capped AS (
+    SELECT *, CASE rank % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight,
+           source_size * 2.0::DOUBLE AS cap,
+           CAST(sum(source_size) OVER () AS BIGINT) * 1.5::DOUBLE AS budget
+    FROM sizes
+), levels AS (
+    SELECT *, (budget - coalesce(sum(cap) OVER (
+                   ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+              / sum(weight) OVER (
+                   ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM capped
+), targets AS (
+    SELECT source, rank, source_size, budget, least(cap, weight * max(level) OVER ()) AS target
+    FROM levels
+), placed AS (
+    SELECT b.doc_id, b.size, b.skey, t.source_size, t.target, t.rank, t.budget,
+           CAST(sum(b.size) OVER (PARTITION BY t.rank ORDER BY b.skey) AS BIGINT) AS cum
+    FROM base b JOIN targets t ON b.source IS NOT DISTINCT FROM t.source
+), copies AS (
+    SELECT p.*, e.epoch,
+           CASE WHEN target > 0 THEN (cum + source_size * e.epoch) / target ELSE 0 END AS finish
+    FROM placed p CROSS JOIN (VALUES (0), (1)) e(epoch)
+), listed AS (
+    SELECT *, sum(size) OVER (ORDER BY finish, rank, epoch, skey) AS upto FROM copies
+)
+SELECT doc_id, size, source_size, target,
+       CAST(sum(CASE WHEN upto <= budget THEN size ELSE 0 END) AS BIGINT) AS taken
+FROM listed GROUP BY doc_id, skey, size, source_size, target
+"""

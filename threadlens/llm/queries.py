@@ -5,7 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from threadlens.llm.exact_dedup import exact_groups
+from threadlens.llm.mixing import mix_decisions
+from threadlens.llm.packing import pack_documents
+from threadlens.llm.quality_rules import quality_verdicts
 from threadlens.llm.simhash_dedup import simhash_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,3 +32,40 @@ def op1_simhash_near_dedup(spark, sf):
     return simhash_groups(table(spark, sf, "documents")).select(
         "doc_id", "fingerprint", "component_id"
     )
+
+
+@query
+def op3_exact_dedup(spark, sf):
+    """The document that stays of each group of equal texts, for every document."""
+    return exact_groups(table(spark, sf, "documents"))
+
+
+@query
+def op4_source_mixing(spark, sf):
+    """Words that the mix takes of every document."""
+    mixed = mix_decisions(table(spark, sf, "documents"))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
+@query
+def op6_best_fit_packing(spark, sf):
+    """Pieces of all documents and their place in sequences of 4096 tokens."""
+    return pack_documents(table(spark, sf, "documents"))
+
+
+@query
+def op7_quality_rules(spark, sf):
+    """Statistics and verdict of base filter and learned decision list."""
+    verdicts = quality_verdicts(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return verdicts.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
