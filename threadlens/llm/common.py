@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,36 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD + "+")).cast("bigint")
 
 
+def bitmaps(cells: DataFrame) -> DataFrame:
+    """(bucket, bitmap) of the numbers ``cell``, from 1 on; a bitmap has 32 768 bits."""
+    return cells.groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bitmap")
+    )
+
+
+def filter_bits(rows: int, bits_per_row: int, max_bits: int) -> int:
+    """Size of a filter: a power of two near rows x bits_per_row, at most ``max_bits``."""
+    wanted = 1 << max(16, math.ceil(math.log2(max(1, rows * bits_per_row))))
+    return min(wanted, max_bits)
+
+
+def with_bit(rows: DataFrame, cell: Column, table: DataFrame, name: str) -> DataFrame:
+    """Add whether the bit ``cell`` is set in a table of ``bitmaps``.
+
+    The bitmaps are broadcast, an eighth of a byte per cell of the filter at most, so the
+    size of the filter bounds them and no row moves.
+    """
+    own = table.select(F.col("bucket").alias("_bucket"), F.col("bitmap").alias("_bitmap"))
+    met = rows.join(
+        F.broadcast(own), F.bitmap_bucket_number(cell) == F.col("_bucket"), "left"
+    )
+    at = F.bitmap_bit_position(cell)
+    octet = F.substring(F.col("_bitmap"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))
+    value = F.conv(F.hex(octet), 16, 10).cast("bigint")
+    bit = F.floor(value / F.pow(F.lit(2.0), at % 8)) % 2 == 1
+    return met.withColumn(name, F.coalesce(bit, F.lit(False))).drop("_bucket", "_bitmap")
+
+
 def connected_components(links: DataFrame, name: str = "components") -> DataFrame:
     """(node, root) for every node of the links (a, b); root is the smallest node reachable.
 

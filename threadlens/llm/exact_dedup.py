@@ -9,16 +9,14 @@ false alarms cost time and never change the result.
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.llm.common import BLANK, text_of
+from threadlens.llm.common import BLANK, bitmaps, filter_bits, text_of, with_bit
 from threadlens.sources.tables import materialize
 
-#: Bits of one row of Spark's bitmap functions.
-BITMAP_BITS = 32_768
 HASHES = 2
 
 
@@ -31,45 +29,20 @@ def _cell(digest: Column, i: int, bits: int) -> Column:
     return F.pmod(F.xxhash64(digest, F.lit(i)), F.lit(bits)) + 1
 
 
-def filter_bits(rows: int, bits_per_row: int, max_bits: int) -> int:
-    """Power of two near rows x bits_per_row, at most ``max_bits``."""
-    wanted = 1 << max(16, math.ceil(math.log2(max(1, rows * bits_per_row))))
-    return min(wanted, max_bits)
-
-
 def repeated_cells(digests: DataFrame, bits: int) -> DataFrame:
     """(bucket, bitmap) of the filter cells that more than one ``digest`` row hits."""
     cells = digests.select(
         F.explode(F.array(*[_cell(F.col("digest"), i, bits) for i in range(HASHES)])).alias("cell")
     )
-    twice = cells.groupBy("cell").count().filter("count > 1")
-    return twice.groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bitmap")
-    )
+    return bitmaps(cells.groupBy("cell").count().filter("count > 1"))
 
 
 def with_suspicion(rows: DataFrame, cells: DataFrame, bits: int) -> DataFrame:
-    """Add ``suspect``: whether all filter cells of the row's ``digest`` are set.
-
-    Joins with broadcast bitmaps, so no row moves; the bitmaps have at most bits / 8 bytes.
-    """
-    flags = []
-    for i in range(HASHES):
-        own = cells.select(F.col("bucket").alias(f"_b{i}"), F.col("bitmap").alias(f"_m{i}"))
-        cell = _cell(F.col("digest"), i, bits)
-        rows = rows.join(
-            F.broadcast(own), F.bitmap_bucket_number(cell) == F.col(f"_b{i}"), "left"
-        )
-        at = F.bitmap_bit_position(cell)
-        octet = F.substring(F.col(f"_m{i}"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))
-        value = F.conv(F.hex(octet), 16, 10).cast("bigint")
-        flags.append(F.floor(value / F.pow(F.lit(2.0), at % 8)) % 2 == 1)
-        rows = rows.withColumn(f"_f{i}", F.coalesce(flags[-1], F.lit(False)))
-        rows = rows.drop(f"_b{i}", f"_m{i}")
-    suspect = F.col("_f0")
-    for i in range(1, HASHES):
-        suspect = suspect & F.col(f"_f{i}")
-    return rows.withColumn("suspect", suspect).drop(*[f"_f{i}" for i in range(HASHES)])
+    """Add ``suspect``: whether all filter cells of the row's ``digest`` are set."""
+    flags = [f"_f{i}" for i in range(HASHES)]
+    for i, flag in enumerate(flags):
+        rows = with_bit(rows, _cell(F.col("digest"), i, bits), cells, flag)
+    return rows.withColumn("suspect", reduce(Column.__and__, map(F.col, flags))).drop(*flags)
 
 
 def exact_groups(

@@ -166,7 +166,7 @@ def pack(
     with room.  Fields that are not packed (ids, say) travel along.
     """
     schema = StructType([*pieces.schema.fields]).add("sequence_id", "long").add("offset", "long")
-    at = pieces.columns.index("length")
+    at, width = pieces.columns.index("length"), len(pieces.columns)
     order = F.xxhash64(*[F.col(c) for c in pieces.columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +174,7 @@ def pack(
         share = TaskContext.get().partitionId() << 40
         for batch in batches:
             placed = [bins.add(n) for n in batch.column(at).to_pylist()]
-            arrays = batch.columns[: len(pieces.columns)] + [
+            arrays = batch.columns[:width] + [
                 pa.array([share + n for n, _ in placed], pa.int64()),
                 pa.array([o for _, o in placed], pa.int64()),
             ]

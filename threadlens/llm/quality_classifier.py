@@ -31,12 +31,12 @@ LENGTH = b"\x00length%d"
 class Settings:
     """``max_examples`` bounds the labelled documents that are learned from."""
 
-    max_examples: int = 6_000
+    max_examples: int = 4_000
     bucket_bits: int = 15
     dimensions: int = 8
-    epochs: int = 12
+    epochs: int = 5
     batch: int = 32
-    rate: float = 0.5
+    rate: float = 0.2
     held_out_fold: int = 0
     folds: int = 5
     seed: int = 42
@@ -125,12 +125,13 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings
     rng = np.random.default_rng(settings.seed)
     size, dim = 1 << settings.bucket_bits, settings.dimensions
     vectors = rng.uniform(-0.5, 0.5, (size, dim)).astype(np.float32) / dim
-    layer, bias = np.zeros((dim, 2), np.float32), np.zeros(2, np.float32)
+    layer = rng.uniform(-0.5, 0.5, (dim, 2)).astype(np.float32)
+    bias = np.zeros(2, np.float32)
     if not examples:
         return Model(np.zeros(size, np.float32), 0.0)
     step, total = 0, settings.epochs * -(-len(examples) // settings.batch)
-    # a bucket's share of a document is small, so its vector takes larger steps
-    gain = 20.0
+    # steps shrink with the squared gradients a vector has seen, so rare tokens learn too
+    seen, seen_layer, seen_bias = np.zeros(size, np.float32), 1e-6, 1e-6
     for _ in range(settings.epochs):
         order = rng.permutation(len(examples))
         for at in range(0, len(order), settings.batch):
@@ -147,9 +148,16 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings
             error /= len(chosen)
             rate = settings.rate * (1 - step / total)
             back = error @ layer.T
-            layer -= rate * (means.T @ error)
-            bias -= rate * error.sum(axis=0)
-            np.subtract.at(vectors, ids, rate * gain * weights * back[owner])
+            slope = means.T @ error
+            seen_layer += float((slope**2).mean())
+            layer -= rate * slope / seen_layer**0.5
+            seen_bias += float((error.sum(axis=0) ** 2).mean())
+            bias -= rate * error.sum(axis=0) / seen_bias**0.5
+            buckets, inverse = np.unique(ids, return_inverse=True)
+            slope = np.zeros((len(buckets), dim), np.float32)
+            np.add.at(slope, inverse, weights * back[owner])
+            seen[buckets] += (slope**2).mean(axis=1)
+            vectors[buckets] -= rate * slope / np.sqrt(seen[buckets] + 1e-12)[:, None]
             step += 1
     direction = layer[:, 1] - layer[:, 0]
     return Model((vectors @ direction).astype(np.float32), float(bias[1] - bias[0]))

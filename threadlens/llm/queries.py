@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.llm.exact_dedup import exact_groups
+from threadlens.llm.license_scan import scan_licenses
 from threadlens.llm.mixing import mix_decisions
 from threadlens.llm.packing import pack_documents
+from threadlens.llm.quality_classifier import fit_quality, score_quality
 from threadlens.llm.quality_rules import quality_verdicts
 from threadlens.llm.simhash_dedup import simhash_groups
+from threadlens.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +37,12 @@ def op1_simhash_near_dedup(spark, sf):
     )
 
 
+@query
+def op2_suffix_array_dedup(spark, sf):
+    """Bytes of every document that strings of 100 bytes cover which start earlier."""
+    return remove_repeats(table(spark, sf, "documents")).drop("kept")
+
+
 @query
 def op3_exact_dedup(spark, sf):
     """The document that stays of each group of equal texts, for every document."""
@@ -49,12 +58,26 @@ def op4_source_mixing(spark, sf):
     )
 
 
+@query
+def op5_quality_classifier(spark, sf):
+    """Quality score of every document; the model has not seen those held out."""
+    docs = table(spark, sf, "documents")
+    scored = score_quality(docs, fit_quality(docs, table(spark, sf, "labels")))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
 @query
 def op6_best_fit_packing(spark, sf):
     """Pieces of all documents and their place in sequences of 4096 tokens."""
     return pack_documents(table(spark, sf, "documents"))
 
 
+@query
+def op8_license_scan(spark, sf):
+    """License notices found in documents: matched share and word span of each."""
+    return scan_licenses(table(spark, sf, "documents"))
+
+
 @query
 def op7_quality_rules(spark, sf):
     """Statistics and verdict of base filter and learned decision list."""
