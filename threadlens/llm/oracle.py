@@ -56,3 +56,46 @@ SELECT doc_id, size, source_size, target,
        CAST(sum(CASE WHEN upto <= budget THEN size ELSE 0 END) AS BIGINT) AS taken
 FROM listed GROUP BY doc_id, skey, size, source_size, target
 """
+
+SQL["op10_url_filter"] = r"""
+WITH captures AS (
+    SELECT page_id, url,
+           1577836800 + (page_id * 7919 + length(url) * 104729) % 126230400 AS fetched_second,
+           lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+           regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1),
+                          '/+', '/', 'g') AS path
+    FROM pages
+), hosts AS (
+    SELECT host, length(host) * 31 + ascii(host) * 17 + ascii(substr(host, 3, 1)) * 7 AS v,
+           regexp_extract(host, '([^.]*\.)?[^.]*$') AS domain
+    FROM (SELECT DISTINCT host FROM captures WHERE host <> '')
+), entries AS (
+    SELECT 'spam' AS list, host AS pattern, 'add' AS action, v % 300 AS day FROM hosts WHERE v % 5 = 0
+    UNION ALL SELECT 'spam', host, 'remove', v % 300 + 200 + v % 150 FROM hosts WHERE v % 5 = 0
+    UNION ALL SELECT 'spam', host, 'add', v % 300 + 300 + v % 150 FROM hosts WHERE v % 5 = 0 AND v % 2 = 0
+    UNION ALL SELECT 'tracking', host || '/en', 'add', v % 900 FROM hosts WHERE v % 4 = 1
+    UNION ALL SELECT 'allow', host, 'add', 100 FROM hosts WHERE v % 7 = 0
+    UNION ALL SELECT 'allow', host, 'remove', 400 + v % 500 FROM hosts WHERE v % 7 = 0
+    UNION ALL SELECT 'parked', domain, 'add', 700 FROM hosts WHERE ascii(right(domain, 1)) % 2 = 0
+    UNION ALL SELECT 'parked', domain, 'remove', 760 FROM hosts WHERE ascii(right(domain, 1)) % 2 = 0
+), changes AS (
+    SELECT list, pattern, 1577836800 + day * 86400 AS since, max(action) AS action
+    FROM entries GROUP BY list, pattern, day
+), intervals AS (
+    SELECT *, lead(since) OVER (PARTITION BY list, pattern ORDER BY since) AS ended FROM changes
+), active AS (
+    SELECT list, pattern, since, ended FROM intervals WHERE action = 'add'
+), found AS (
+    SELECT DISTINCT c.page_id, c.url, a.list
+    FROM captures c JOIN active a
+      ON c.fetched_second >= a.since AND (a.ended IS NULL OR c.fetched_second < a.ended)
+     AND (c.host = a.pattern OR ends_with(c.host, '.' || a.pattern)
+          OR (contains(a.pattern, '/') AND starts_with(c.host || c.path || '/', a.pattern || '/')))
+), listed AS (
+    SELECT page_id, url, string_agg(list, ',' ORDER BY list) AS lists, bool_or(list = 'allow') AS allowed
+    FROM found GROUP BY page_id, url
+)
+SELECT c.page_id, c.fetched_second, coalesce(l.lists, '') AS lists,
+       l.lists IS NOT NULL AND NOT l.allowed AS blocked
+FROM captures c LEFT JOIN listed l ON c.page_id = l.page_id AND c.url = l.url
+"""

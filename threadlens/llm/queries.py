@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.llm.exact_dedup import exact_groups
 from threadlens.llm.license_scan import scan_licenses
+from threadlens.llm.line_dedup import line_report
 from threadlens.llm.mixing import mix_decisions
 from threadlens.llm.packing import pack_documents
 from threadlens.llm.quality_classifier import fit_quality, score_quality
 from threadlens.llm.quality_rules import quality_verdicts
 from threadlens.llm.simhash_dedup import simhash_groups
 from threadlens.llm.suffix_dedup import remove_repeats
+from threadlens.llm.url_filter import judge_captures, url_host
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,3 +95,68 @@ def op7_quality_rules(spark, sf):
         "base_failed",
         "kept",
     )
+
+
+@query
+def op9_fuzzy_line_dedup(spark, sf):
+    """Number and positions of the lines of every document that repeat earlier ones."""
+    report = line_report(table(spark, sf, "documents"))
+    return report.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.array_join(F.col("removed_lines").cast("array<string>"), ",").alias("removed_lines"),
+    )
+
+
+#: Start of the invented fetch and list times, and their range in seconds.
+FIRST_SECOND, SECONDS = 1_577_836_800, 126_230_400
+
+
+def page_captures(spark: SparkSession, sf: str) -> DataFrame:
+    """``pages`` as captures; the table has no fetch time, so one follows from its columns."""
+    second = FIRST_SECOND + (F.col("page_id") * 7919 + F.length("url") * 104_729) % SECONDS
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    return pages.withColumn("fetched_at", F.timestamp_seconds(second))
+
+
+def host_list_entries(captures: DataFrame) -> DataFrame:
+    """Dated list entries that follow from the hosts of the captures."""
+    hosts = captures.select(url_host(F.col("url")).alias("host")).filter("host <> ''").distinct()
+    v = F.length("host") * 31 + F.ascii("host") * 17 + F.ascii(F.substring("host", 3, 1)) * 7
+    hosts = hosts.withColumn("v", v)
+
+    def entry(where: str, name: str, pattern: str, action: str, day: str) -> DataFrame:
+        at = F.timestamp_seconds(FIRST_SECOND + F.expr(day) * 86_400)
+        return hosts.filter(where).select(
+            F.lit(name).alias("list"),
+            F.expr(pattern).alias("pattern"),
+            F.lit(action).alias("action"),
+            at.alias("at"),
+        )
+
+    domain = "substring_index(host, '.', -2)"
+    parts = [
+        entry("v % 5 = 0", "spam", "host", "add", "v % 300"),
+        entry("v % 5 = 0", "spam", "host", "remove", "v % 300 + 200 + v % 150"),
+        entry("v % 5 = 0 AND v % 2 = 0", "spam", "host", "add", "v % 300 + 300 + v % 150"),
+        entry("v % 4 = 1", "tracking", "concat(host, '/en')", "add", "v % 900"),
+        entry("v % 7 = 0", "allow", "host", "add", "100"),
+        entry("v % 7 = 0", "allow", "host", "remove", "400 + v % 500"),
+        entry(f"ascii(right({domain}, 1)) % 2 = 0", "parked", domain, "add", "700"),
+        entry(f"ascii(right({domain}, 1)) % 2 = 0", "parked", domain, "remove", "760"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def op10_url_filter(spark, sf):
+    """Lists that covered every page when it was fetched, and whether that blocks it."""
+    captures = page_captures(spark, sf)
+    judged = judge_captures(captures, host_list_entries(captures))
+    return judged.select(
+        "page_id",
+        F.unix_seconds("fetched_at").alias("fetched_second"),
+        F.array_join("lists", ",").alias("lists"),
+        "blocked",
+    )
