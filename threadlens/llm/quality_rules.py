@@ -25,14 +25,20 @@ WINDOW = 3
 
 #: Measures that rules may test; each is a ratio, so long and short texts are alike.
 MEASURES = {
-    "symbols_per_word": F.col("n_symbols") / F.col("n_words"),
-    "repeated_share": F.col("n_repeat_words") / F.col("n_words"),
-    "capital_share": F.col("n_capitals") / F.col("word_chars"),
-    "duplicate_lines": F.col("n_dup_lines") / F.col("n_lines"),
-    "mean_word_chars": F.col("word_chars") / F.col("n_words"),
+    "symbols_per_word": "n_symbols / n_words",
+    "repeated_share": "n_repeat_words / n_words",
+    "capital_share": "n_capitals / word_chars",
+    "duplicate_lines": "n_dup_lines / n_lines",
+    "mean_word_chars": "word_chars / n_words",
 }
 
 
+def measure(name: str) -> Column:
+    """Value of a measure; null for a text without words."""
+    return F.when(F.col("n_words") > 0, F.expr(MEASURES[name]))
+
+
+
 def _removed(text: Column, characters: str) -> Column:
     """Number of the given characters in a text."""
     return F.length(text) - F.length(F.translate(text, characters, ""))
@@ -94,7 +100,7 @@ class Condition:
     cut: float
 
     def expression(self) -> Column:
-        value = MEASURES[self.measure]
+        value = measure(self.measure)
         return value > self.cut if self.above else value <= self.cut
 
     def __str__(self) -> str:
@@ -124,7 +130,7 @@ def _cuts(rows: DataFrame, bins: int) -> dict[str, list[float]]:
     good = [1 - 0.5 ** (4 + i) for i in range(bins - 1 - half)]
     bad = [(i + 1) / (half + 1) for i in range(half)]
     parts = [
-        F.percentile_approx(F.when(F.col("quality") == q, MEASURES[m]), shares, 10_000).alias(
+        F.percentile_approx(F.when(F.col("quality") == q, measure(m)), shares, 10_000).alias(
             f"{m}_{q}"
         )
         for m in MEASURES
@@ -137,9 +143,9 @@ def _cuts(rows: DataFrame, bins: int) -> dict[str, list[float]]:
     }
 
 
-def _binned(measure: str, cuts: Sequence[float]) -> Column:
+def _binned(name: str, cuts: Sequence[float]) -> Column:
     """Number of thresholds below the value."""
-    value = MEASURES[measure]
+    value = measure(name)
     return sum((F.when(value > c, 1).otherwise(0) for c in cuts), F.lit(0))
 
 
