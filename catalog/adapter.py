@@ -1,8 +1,9 @@
 """Maps the benchmark tables to support-message tables, for Spark and DuckDB.
 
 The expressions below are written once in the SQL subset both engines share.
-The decorations make every message rule fire somewhere; nothing is filtered out
-except ``system`` turns, which are not part of a support thread.
+The decorations make every message rule fire somewhere.  They are added to the texts
+and replace none; empty, two-character and URL-only messages are further turns.  All
+turns are read; those of the system count as a customer's, like every author but a brand.
 """
 
 from __future__ import annotations
@@ -23,22 +24,31 @@ N = "(conv_id * 1000 + turn)"
 AUTHOR = (
     "CASE WHEN role = 'assistant' THEN CASE conv_id % 4 "
     + " ".join(f"WHEN {i} THEN '{b}'" for i, b in enumerate(BRANDS))
-    + " END ELSE concat('user_', CAST(conv_id % 50 AS STRING)) END"
+    + " END WHEN role = 'system' THEN concat('system_', CAST(conv_id % 50 AS STRING))"
+    " ELSE concat('user_', CAST(conv_id % 50 AS STRING)) END"
 )
 
+# all turns, and one of a fixed text for every conversation
+EXTRA_TURN = 901
+EXTRA_TEXT = (
+    "CASE conv_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'ok' WHEN 2 THEN 'This tweet has been deleted' "
+    "ELSE concat('https://t.example.org/x', CAST(conv_id AS STRING)) END"
+)
+TURNS = f"""
+  SELECT conv_id, turn, role, text, false AS extra FROM {{conversations}}
+  UNION ALL
+  SELECT conv_id, {EXTRA_TURN} AS turn, 'user' AS role, {EXTRA_TEXT} AS text, true AS extra
+  FROM (SELECT DISTINCT conv_id FROM {{conversations}}) t"""
+
 TEXT = f"""
-concat(
+CASE WHEN extra THEN text ELSE concat(
   CASE WHEN {N} % 21 = 10 THEN ' \n' ELSE '' END,
   CASE WHEN {N} % 7 = 2 THEN 'RT @someuser: ' ELSE '' END,
   CASE WHEN {N} % 5 = 1 THEN '@{BRAND} @friend_1 ' ELSE '' END,
   CASE WHEN {N} % 12 = 3 THEN 'item ' ELSE '' END,
-  CASE WHEN {N} % 31 = 12 THEN upper(replace(text, 'ß', 'ss'))
-       WHEN {N} % 37 = 0 THEN ''
-       WHEN {N} % 41 = 5 THEN 'ok'
-       WHEN {N} % 43 = 7 THEN 'This tweet has been deleted'
-       WHEN {N} % 29 = 11 THEN concat('https://t.example.org/x', CAST({N} AS STRING))
-       WHEN {N} % 13 = 4 THEN 'Please DM us your order details so we can help.'
-       ELSE text END,
+  CASE WHEN {N} % 31 = 12 THEN upper(replace(text, 'ß', 'ss')) ELSE text END,
+  CASE WHEN {N} % 29 = 11 THEN concat(' https://t.example.org/x', CAST({N} AS STRING)) ELSE '' END,
+  CASE WHEN {N} % 13 = 4 THEN ' Please DM us your order details so we can help.' ELSE '' END,
   CASE WHEN {N} % 9 = 2 THEN ' I was charged twice and want a refund' ELSE '' END,
   CASE WHEN {N} % 10 = 7 THEN ' my account is locked out' ELSE '' END,
   CASE WHEN {N} % 14 = 5 THEN ' the box was damaged and broken' ELSE '' END,
@@ -50,23 +60,24 @@ concat(
   CASE WHEN {N} % 17 = 6 THEN '??' ELSE '' END,
   CASE WHEN {N} % 12 = 1 THEN ' wrong' ELSE '' END,
   CASE WHEN {N} % 21 = 10 THEN '\n' ELSE '' END
-)
+) END
 """
 
 EPOCH = "1704067200 + conv_id * 3600 + turn * 60"
 
 # the message table in DuckDB; timestamps are epoch seconds there
 MESSAGES_SQL = f"""
+turns AS MATERIALIZED ({TURNS.format(conversations="conversations")}),
 messages AS MATERIALIZED (
   SELECT printf('conv_%06d', conv_id) AS conversation_id,
          CAST({N} AS STRING) AS tweet_id,
          {AUTHOR} AS author_id,
          CASE WHEN role = 'assistant' THEN 'brand' ELSE 'customer' END AS role,
-         role = 'user' AS inbound,
+         role <> 'assistant' AS inbound,
          {EPOCH} AS created_at,
          {TEXT} AS text,
          conv_id, turn, {N} AS n
-  FROM conversations WHERE role <> 'system'
+  FROM turns
 )"""
 
 TWEETS_SQL = f"""
@@ -86,17 +97,21 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    return spark.sql(TURNS.replace("{conversations}", "{c}"), c=conversations)
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer or brand message."""
     return (
-        read(spark, sf_dir, "conversations")
-        .filter("role <> 'system'")
+        turns(spark, sf_dir)
         .select(
             F.format_string("conv_%06d", "conv_id").alias("conversation_id"),
             F.expr(f"CAST({N} AS STRING)").alias("tweet_id"),
             F.expr(AUTHOR).alias("author_id"),
             F.expr("CASE WHEN role = 'assistant' THEN 'brand' ELSE 'customer' END").alias("role"),
-            F.expr("role = 'user'").alias("inbound"),
+            F.expr("role <> 'assistant'").alias("inbound"),
             F.timestamp_seconds(F.expr(EPOCH)).alias("created_at"),
             once(F.expr(TEXT)).alias("text"),
             "conv_id",
@@ -108,8 +123,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conversation_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conversation id of every message; reads no text."""
-    turns = read(spark, sf_dir, "conversations").filter("role <> 'system'")
-    return turns.select(F.format_string("conv_%06d", "conv_id").alias("conversation_id"))
+    return turns(spark, sf_dir).select(F.format_string("conv_%06d", "conv_id").alias("conversation_id"))
 
 
 def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +200,7 @@ def event_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Annotation records: one per customer message, many ids occur repeatedly.
+# Annotation records: one per message, many ids occur repeatedly.
 ANNOTATION_ID = (
     f"CASE WHEN {N} % 47 = 0 THEN '' WHEN {N} % 53 = 0 THEN NULL ELSE 'id' END"
 )
@@ -231,14 +245,13 @@ annotations AS MATERIALIZED (
          concat('note ', CAST({N} AS STRING)) AS annotator_notes,
          {EPOCH} AS annotated_at,
          {N} AS row_id
-  FROM conversations WHERE role = 'user'
+  FROM conversations
 )"""
 
 
 def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         read(spark, sf_dir, "conversations")
-        .filter("role = 'user'")
         .select(
             F.when(F.expr(f"{ANNOTATION_ID} = 'id'"), F.format_string("conv_%06d", "conv_id"))
             .otherwise(F.expr(ANNOTATION_ID))

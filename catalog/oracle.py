@@ -408,7 +408,7 @@ def build() -> dict[str, str]:
     w("scan_message_json", ad.MESSAGES_SQL, "SELECT tweet_id, 0::BIGINT AS position, text FROM messages")
     w("annotated_ids", ANNOTATED, "SELECT DISTINCT conversation_id FROM annotations WHERE conversation_id IS NOT NULL")
     w("training_table", f"{CONVERSATIONS}, {GOLDEN}",
-      "SELECT conversation_id, opening_message AS text, primary_intent FROM golden JOIN conv USING (conversation_id)")
+      "SELECT conversation_id, opening_message AS text, primary_intent, 'conversations' AS source FROM golden JOIN conv USING (conversation_id)")
     raw_cols = ["tweet_id", "author_id", "inbound", "created_at", "text", "response_tweet_id", "in_response_to_tweet_id"]
     w("profile_raw", ad.TWEETS_SQL,
       "SELECT count(*) AS total_rows, 7::BIGINT AS total_columns, count(*) FILTER (inbound) AS inbound_rows, "
@@ -438,12 +438,14 @@ def build() -> dict[str, str]:
       f"SELECT count(*) AS original_rows, count(*) FILTER ({kept}) AS filtered_rows, count(*) FILTER (NOT {kept}) AS removed_rows, "
       f"round(count(*) FILTER ({kept}) * 100.0::DOUBLE / count(*), 1) AS retention_pct, "
       f"count(*) FILTER ({kept} AND {isb}) AS brand_messages, count(*) FILTER ({kept} AND NOT {isb}) AS customer_messages, "
-      "(SELECT least(10, max(hop) + 1)::BIGINT FROM r10) AS rounds FROM event_tweets")
+      "(SELECT max(hop) + 1 FROM r10)::BIGINT AS rounds, (SELECT max(hop) < 10 FROM r10) AS converged FROM event_tweets")
     w("thread_roots", f"{ev_levels}, filtered AS (SELECT * FROM event_tweets WHERE {kept})",
       "SELECT tweet_id FROM filtered WHERE in_response_to_tweet_id IS NULL OR in_response_to_tweet_id NOT IN (SELECT tweet_id FROM filtered)")
     cols = "conversation_id, tweet_id, role, depth"
     w("build_threads", f"{tw}, {threads('tweets', 'created_at')}", f"SELECT {cols} FROM threaded", True)
     w("build_threads_events", f"{evt}, {threads('event_tweets', 'created_us')}", f"SELECT {cols} FROM threaded", True)
+    w("thread_depth_report", f"{evt}, {threads('event_tweets', 'created_us')}",
+      "SELECT count(*) AS messages, (SELECT count(*) FROM tree) AS placed, count(*) - (SELECT count(*) FROM tree) AS dropped FROM event_tweets", True)
     w("message_sequence", ad.MESSAGES_SQL,
       "SELECT conversation_id, tweet_id, row_number() OVER (PARTITION BY conversation_id ORDER BY created_at, tweet_id) AS seq FROM messages")
     w("thread_stats", f"{evt}, {threads('event_tweets', 'created_us')}, "
@@ -514,7 +516,7 @@ def build() -> dict[str, str]:
       "SELECT conversation_id, role AS last_role FROM processed QUALIFY row_number() OVER (PARTITION BY conversation_id ORDER BY seq DESC) = 1")
     w("opening_messages", OPENINGS, f"SELECT conversation_id, text FROM openings WHERE length({strip('text')}) > 10")
     w("evidence_pairs", PAIRS, "SELECT conversation_id, customer_text, brand_reply FROM pairs")
-    w("conversation_table", CONVERSATIONS, "SELECT * FROM conv")
+    w("conversation_table", CONVERSATIONS, "SELECT *, 0::BIGINT AS part FROM conv")
 
     # language
     def top(items: str, name: str, n: int) -> str:

@@ -116,10 +116,10 @@ def annotated_ids(spark, sf):
 
 @query
 def training_table(spark, sf):
-    golden = an.golden_with_text(
-        an.golden_records(ad.annotations(spark, sf)), ordered(spark, sf, cv.conversation_table)
+    golden = an.golden_records(ad.annotations(spark, sf))
+    return readers.training_table(
+        spark, golden, ordered(spark, sf, cv.conversation_table), P.min_training_records
     )
-    return readers.training_table(spark, golden, None)
 
 
 @query
@@ -195,6 +195,12 @@ def build_threads_events(spark, sf):
     return t.select(*THREAD_COLUMNS).withColumn("depth", F.col("depth").cast("bigint"))
 
 
+@query
+def thread_depth_report(spark, sf):
+    """Messages that threads of limited depth leave out."""
+    return gr.thread_depth_report(ad.event_tweets(spark, sf), P)
+
+
 @query
 def message_sequence(spark, sf):
     return gr.message_sequence(ad.messages(spark, sf), P, hot(spark, sf)).select("conversation_id", "tweet_id", "seq")
@@ -347,7 +353,7 @@ def evidence_pairs(spark, sf):
 
 @query
 def conversation_table(spark, sf):
-    return ordered(spark, sf, cv.conversation_table).drop("part")
+    return ordered(spark, sf, cv.conversation_table)
 
 
 # -- language ----------------------------------------------------------------
@@ -640,7 +646,7 @@ def extract_brand_reply(spark, sf):
     table = ordered(spark, sf, cv.conversation_table)
     number = F.expr("CAST(substr(conversation_id, 6) AS BIGINT) % 10")
     transcript = F.when(number == 0, F.lit(None)).when(number == 1, F.lit("")).otherwise(F.col("full_conversation"))
-    return table.select("conversation_id", tx.first_brand_reply(transcript, P.brand).alias("reply"))
+    return cv.first_brand_replies(table.withColumn("full_conversation", transcript), P)
 
 
 def fitted_scorer(spark, sf):

@@ -28,8 +28,12 @@ def test_expansion_directions_and_round_limit(spark):
     rows += [("x", "u", 50, "t", "c1", None), ("c99", "u", 51, "t", None, None)]
     df = tweets(spark, rows)
     kept = {r["tweet_id"] for r in gr.filter_brand(df, P).collect()}
+    assert kept == {"b"} | {f"c{i}" for i in range(1, 15)} and "x" not in kept
+    assert one(gr.brand_filter_report(df, P))["converged"]
+    ten = Params(brand=P.brand, max_expansion_rounds=10)
+    kept = {r["tweet_id"] for r in gr.filter_brand(df, ten).collect()}
     assert kept == {"b"} | {f"c{i}" for i in range(1, 12)}  # seed reaches c1, ten rounds more
-    assert "x" not in kept
+    assert not one(gr.brand_filter_report(df, ten))["converged"]
     listed = tweets(
         spark,
         [*rows[:2], ("c2", "u", 3, "t", " y ,nothing", "c1"), ("y", "u", 60, "t", None, None)],
@@ -95,3 +99,13 @@ def test_histogram_keeps_empty_classes(spark):
     sizes = spark.createDataFrame([(f"c{n}", i) for n in (1, 2, 9, 25) for i in range(n)], "conversation_id string, i int").withColumn("role", F.lit("brand"))
     got = table(gr.thread_length_histogram(sizes), "length")
     assert {k: v["conversations"] for k, v in got.items()} == {"1": 1, "2": 1, "3": 0, "4": 0, "5-9": 1, "10-19": 0, "20+": 1}
+
+
+def test_thread_depth_limit_is_reported_and_can_be_lifted(spark):
+    rows = [(f"c{i:02d}", "u", i, "t", None, f"c{i - 1:02d}" if i else None) for i in range(30)]
+    rows += [("x", "u", 50, "t", None, "y"), ("y", "u", 51, "t", None, "x")]  # a reply cycle
+    df = tweets(spark, rows)
+    assert one(gr.thread_depth_report(df, P)) == {"messages": 32, "placed": 21, "dropped": 11}
+    deep = Params(brand=P.brand, max_thread_depth=None)
+    assert one(gr.thread_depth_report(df, deep)) == {"messages": 32, "placed": 30, "dropped": 2}
+    assert gr.build_threads(df, deep).agg(F.max("depth")).first()[0] == 29

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tests.fixtures import P, messages, one, table
@@ -109,6 +111,22 @@ def test_conversation_table_parts_join_to_the_whole(spark):
     assert "\n".join(r["full_conversation"] for r in parts) == whole["c1"]["full_conversation"]
 
 
+@pytest.mark.parametrize("lines", [1, 2, 1_000])
+def test_first_brand_replies_do_not_depend_on_the_parts(spark, lines):
+    rows = [("c1", f"t{i}", "ann", "customer", i, f"line {i}") for i in range(5)]
+    rows += [("c1", "t7", "AcmeSupport", "brand", 7, "first"), ("c1", "t8", "AcmeSupport", "brand", 8, "second")]
+    rows += [("c2", f"x{i}", "bob", "customer", i, "hi") for i in range(4)]
+    p = Params(brand=P.brand, transcript_lines=lines)
+    parts = cv.conversation_table(messages(spark, rows), p)
+    parts = parts.unionByName(parts.limit(1).withColumn("conversation_id", F.lit("c3")).withColumn("full_conversation", F.lit("")))
+    got = {r["conversation_id"]: r["reply"] for r in cv.first_brand_replies(parts, p).collect()}
+    assert got == {
+        "c1": "first",
+        "c2": "Please DM us your details so we can investigate.",
+        "c3": "Please DM us so we can assist you.",
+    }
+
+
 def test_language(spark):
     m = messages(spark)
     words = {r["word"]: r["count"] for r in lg.top_keywords(m, 30).collect()}

@@ -70,8 +70,17 @@ def test_fallbacks(spark):
         readers.with_fallback(empty, None)
     assert readers.training_table(spark, None, None).count() == 60
     golden = spark.createDataFrame([(f"c{i}", "text", "order_status") for i in range(10)], "conversation_id string, customer_text string, primary_intent string")
-    assert readers.training_table(spark, None, golden).count() == 10
-    assert readers.training_table(spark, None, golden.limit(9)).count() == 60
+    assert readers.training_table(spark, golden, None).count() == 10
+    few = readers.training_table(spark, golden.limit(9), None)
+    assert few.count() == 60 and {r["source"] for r in few.collect()} == {"starter"}
+    assert readers.training_table(spark, golden.limit(9), None, min_records=9).count() == 9
+
+
+def test_training_rule_counts_golden_records_before_the_join(spark):
+    golden = spark.createDataFrame([(f"c{i}", "order_status") for i in range(12)], "conversation_id string, primary_intent string")
+    talks = spark.createDataFrame([(f"c{i}", "hello", 0) for i in range(6)], "conversation_id string, opening_message string, part int")
+    rows = readers.training_table(spark, golden, talks).collect()
+    assert len(rows) == 6 and {(r["text"], r["source"]) for r in rows} == {("hello", "conversations")}
 
 
 def test_preprocess_end_to_end(spark, tmp_path):

@@ -116,8 +116,8 @@ def role_tag(role: Column) -> Column:
     return F.when(role == "customer", F.lit("[CUSTOMER]")).otherwise(F.lit("[BRAND]"))
 
 
-def first_brand_reply(transcript: Column, brand: str) -> Column:
-    """First brand line of a transcript, with stock texts when there is none.
+def brand_line(transcript: Column, brand: str) -> Column:
+    """First brand line of a transcript, null when there is none.
 
     A line counts when it starts with the brand tag (which is removed) or when
     it mentions the brand name.
@@ -126,12 +126,7 @@ def first_brand_reply(transcript: Column, brand: str) -> Column:
     tag = F.lit("[BRAND]")
     hits = F.filter(lines, lambda x: F.startswith(x, tag) | F.contains(x, F.lit(brand)))
     hit = F.get(hits, F.lit(0))
-    reply = F.when(F.startswith(hit, tag), ustrip(F.replace(hit, tag, F.lit("")))).otherwise(hit)
-    return (
-        F.when(transcript.isNull() | (transcript == ""), F.lit(P.REPLY_WHEN_NO_TRANSCRIPT))
-        .when(hit.isNull(), F.lit(P.REPLY_WHEN_NO_BRAND_LINE))
-        .otherwise(reply)
-    )
+    return F.when(F.startswith(hit, tag), ustrip(F.replace(hit, tag, F.lit("")))).otherwise(hit)
 
 
 def label_key(value: Column) -> Column:

@@ -19,7 +19,7 @@ from threadlens.operators.ordering import (
     join_groups,
     with_previous,
 )
-from threadlens.params import Params
+from threadlens.params import REPLY_WHEN_NO_BRAND_LINE, REPLY_WHEN_NO_TRANSCRIPT, Params
 from threadlens.sources.tables import materialize
 
 
@@ -294,7 +294,7 @@ def evidence_pairs(messages: DataFrame) -> DataFrame:
 def conversation_table(
     messages: DataFrame, p: Params, hot: HotGroups | None = None
 ) -> DataFrame:
-    """One row per conversation with opening message and tagged transcript.
+    """One row per conversation and ``part`` with opening message and tagged transcript.
 
     A transcript longer than ``p.transcript_lines`` lines is cut into consecutive
     parts, one row each, so that no row grows without bound; joining the parts
@@ -351,6 +351,32 @@ def conversation_table(
     )
 
 
+def first_brand_replies(parts: DataFrame, p: Params) -> DataFrame:
+    """(conversation_id, reply): first brand line of every conversation.
+
+    ``parts`` is a conversation table; the parts of a transcript are searched in order,
+    so the answer does not depend on where transcripts are cut.  Stock texts stand for
+    an empty transcript and for one without a brand line.
+    """
+    line = tx.brand_line(F.col("full_conversation"), p.brand)
+    filled = F.coalesce(F.col("full_conversation") != "", F.lit(False))
+    return (
+        parts.select("conversation_id", "part", line.alias("_line"), filled.alias("_filled"))
+        .groupBy("conversation_id")
+        .agg(
+            F.min(F.when(F.col("_line").isNotNull(), F.struct("part", "_line"))).alias("_hit"),
+            F.bool_or("_filled").alias("_filled"),
+        )
+        .select(
+            "conversation_id",
+            F.when(~F.col("_filled"), F.lit(REPLY_WHEN_NO_TRANSCRIPT))
+            .when(F.col("_hit").isNull(), F.lit(REPLY_WHEN_NO_BRAND_LINE))
+            .otherwise(F.col("_hit._line"))
+            .alias("reply"),
+        )
+    )
+
+
 def preprocessing_summary(final: DataFrame, raw_rows: DataFrame, removals: DataFrame) -> DataFrame:
     """One row: run totals, removal counts per stage, thread lengths, roles.
 

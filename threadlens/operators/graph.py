@@ -87,8 +87,10 @@ def reply_columns(tweets: DataFrame) -> DataFrame:
     return materialize(tweets.select(*columns), "reply-columns")
 
 
-def expand_brand(tweets: DataFrame, p: Params) -> tuple[DataFrame, int]:
-    """Ids reachable from the seed, and the number of rounds used.
+def expand_brand(tweets: DataFrame, p: Params) -> tuple[DataFrame, int, bool]:
+    """Ids reachable from the seed, the number of rounds used, and whether that is all.
+
+    Without ``max_expansion_rounds`` it always is.
 
     Only the ids found in the previous round are joined with the neighbour list,
     and every round's new ids are written out, so the plan does not grow.
@@ -99,8 +101,8 @@ def expand_brand(tweets: DataFrame, p: Params) -> tuple[DataFrame, int]:
     steps = materialize(steps.select("src", "dst"), "reply-steps")
     frontier = materialize(brand_seed(tweets, p), "frontier")
     kept = frontier
-    rounds = 0
-    while rounds < p.max_expansion_rounds:
+    rounds, converged = 0, False
+    while p.max_expansion_rounds is None or rounds < p.max_expansion_rounds:
         rounds += 1
         found = (
             steps.join(frontier.withColumnRenamed("tweet_id", "src"), "src", "left_semi")
@@ -110,21 +112,25 @@ def expand_brand(tweets: DataFrame, p: Params) -> tuple[DataFrame, int]:
         )
         frontier = materialize(found, "frontier")
         if frontier.isEmpty():
+            converged = True
             break
         kept = kept.union(frontier)
-    return kept, rounds
+    return kept, rounds, converged
 
 
 def filter_brand(tweets: DataFrame, p: Params) -> DataFrame:
     """All messages of conversations that involve the brand."""
-    kept, _ = expand_brand(require_brand(reply_columns(tweets), p), p)
+    kept, *_ = expand_brand(require_brand(reply_columns(tweets), p), p)
     return tweets.join(kept, "tweet_id", "left_semi")
 
 
 def brand_filter_report(tweets: DataFrame, p: Params) -> DataFrame:
-    """One row: sizes before and after, retention, rounds, brand/customer counts."""
+    """One row: sizes before and after, retention, rounds, brand/customer counts.
+
+    ``converged`` tells whether the last round found nothing new.
+    """
     slim = reply_columns(tweets)
-    kept, rounds = expand_brand(slim, p)
+    kept, rounds, converged = expand_brand(slim, p)
     flagged = slim.join(kept.withColumn("kept", F.lit(True)), "tweet_id", "left")
     kept_flag = F.coalesce("kept", F.lit(False))
     brand = F.coalesce(is_brand("author_id", p.brand), F.lit(False))
@@ -135,7 +141,7 @@ def brand_filter_report(tweets: DataFrame, p: Params) -> DataFrame:
         F.round(F.count_if(kept_flag) * 100.0 / F.count("*"), 1).alias("retention_pct"),
         F.count_if(kept_flag & brand).alias("brand_messages"),
         F.count_if(kept_flag & ~brand).alias("customer_messages"),
-    ).withColumn("rounds", F.lit(rounds).cast("bigint"))
+    ).withColumns({"rounds": F.lit(rounds).cast("bigint"), "converged": F.lit(converged)})
 
 
 def with_role(tweets: DataFrame, p: Params) -> DataFrame:
@@ -162,9 +168,11 @@ def thread_roots(tweets: DataFrame) -> DataFrame:
     return starts.union(orphans)
 
 
-def thread_members(tweets: DataFrame, max_depth: int) -> DataFrame:
+def thread_members(tweets: DataFrame, max_depth: int | None) -> DataFrame:
     """(tweet_id, root_id, depth) of all messages at most ``max_depth`` below a root.
 
+    Without a limit, of all messages that reach a root at all.
+
     Every message starts with a pointer to its parent; each round replaces the
     pointer by the pointer of the message it points to, so a path of length n is
     resolved in log2(n) rounds.  Messages deeper than the limit, and messages on
@@ -173,6 +181,7 @@ def thread_members(tweets: DataFrame, max_depth: int) -> DataFrame:
     A message with very many answers makes its id a hot join key.  Both join
     inputs are plain written tables, which lets adaptive execution split it.
     """
+    within = F.lit(True) if max_depth is None else F.col("depth") <= max_depth
     parents = tweets.select(
         "tweet_id", ustrip(F.col("in_response_to_tweet_id")).alias("parent_id")
     )
@@ -185,13 +194,16 @@ def thread_members(tweets: DataFrame, max_depth: int) -> DataFrame:
         .select(
             "tweet_id",
             F.when(F.col("known"), F.col("parent_id")).otherwise(F.col("tweet_id")).alias("ptr"),
-            F.when(F.col("known"), 1).otherwise(0).alias("depth"),
+            F.when(F.col("known"), 1).otherwise(0).cast("bigint").alias("depth"),
             F.col("known").isNull().alias("resolved"),
         )
-        .filter(F.col("depth") <= max_depth)
+        .filter(within)
     )
     pointers = materialize(pointers, "pointers")
-    while not pointers.filter("NOT resolved").isEmpty():
+    # a cycle never resolves; pointers along a path reach twice as far each round
+    reach, longest = 1, tweets.count()
+    while reach <= 2 * longest and not pointers.filter("NOT resolved").isEmpty():
+        reach *= 2
         target = pointers.select(
             F.col("tweet_id").alias("ptr"),
             F.col("ptr").alias("next_ptr"),
@@ -207,10 +219,20 @@ def thread_members(tweets: DataFrame, max_depth: int) -> DataFrame:
                 (F.col("depth") + F.col("next_depth")).alias("depth"),
                 F.col("next_resolved").alias("resolved"),
             )
-            .filter(F.col("depth") <= max_depth)
+            .filter(within)
         )
         pointers = materialize(pointers.filter("resolved").union(moved), "pointers")
-    return pointers.select("tweet_id", F.col("ptr").alias("root_id"), "depth")
+    return pointers.filter("resolved").select("tweet_id", F.col("ptr").alias("root_id"), "depth")
+
+
+def thread_depth_report(tweets: DataFrame, p: Params) -> DataFrame:
+    """One row: messages, messages in threads, messages too deep or on a reply cycle."""
+    slim = materialize(tweets.select("tweet_id", "in_response_to_tweet_id"), "reply-pointers")
+    placed = thread_members(slim, p.max_thread_depth).agg(F.count("*").alias("placed"))
+    total = slim.agg(F.countDistinct("tweet_id").alias("messages"))
+    return total.join(placed).select(
+        "messages", "placed", (F.col("messages") - F.col("placed")).alias("dropped")
+    )
 
 
 def build_threads(tweets: DataFrame, p: Params, unique_ids: bool = False) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadlens.operators.annotations import golden_with_text
 from threadlens.sources import seeds
 from threadlens.sources.schemas import (
     ANNOTATION_SCHEMA,
@@ -121,13 +122,25 @@ def with_fallback(*candidates: DataFrame | None) -> DataFrame:
     raise ValueError("no source has any rows")
 
 
-def training_table(spark: SparkSession, golden_with_text: DataFrame | None, golden: DataFrame | None) -> DataFrame:
-    """(conversation_id, text, primary_intent) for the classifier.
+def training_table(
+    spark: SparkSession,
+    golden: DataFrame | None,
+    conversations: DataFrame | None,
+    min_records: int = 10,
+) -> DataFrame:
+    """(conversation_id, text, primary_intent, source) for the classifier.
 
-    Prefers golden labels joined with conversations, then golden labels with
-    their own text; both need ten rows.  Otherwise a built-in starter set.
+    ``golden`` labels count when there are ``min_records`` of them.  Their text is the
+    opening message of their conversation where a conversation table is given, else
+    their own ``customer_text``.  Otherwise a built-in starter set; ``source`` says
+    which of ``conversations``, ``golden`` and ``starter`` it is.
     """
-    for df, text in ((golden_with_text, "text"), (golden, "customer_text")):
-        if df is not None and text in df.columns and len(df.take(10)) == 10:
-            return df.select("conversation_id", F.col(text).alias("text"), "primary_intent")
-    return seeds.training_rows(spark)
+    columns = ["conversation_id", "text", "primary_intent"]
+    if golden is not None and len(golden.take(min_records)) == min_records:
+        if conversations is not None and "opening_message" in conversations.columns:
+            joined = golden_with_text(golden, conversations)
+            return joined.select(*columns, F.lit("conversations").alias("source"))
+        if "customer_text" in golden.columns:
+            own = golden.withColumn("text", F.col("customer_text"))
+            return own.select(*columns, F.lit("golden").alias("source"))
+    return seeds.training_rows(spark).withColumn("source", F.lit("starter"))
