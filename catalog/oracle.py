@@ -209,6 +209,19 @@ threaded AS MATERIALIZED (
 )"""
 
 
+def end_to_end(source: str, table: str, order: str) -> str:
+    """Brand filter, threads, cleaning and quality filter of a raw tweet table."""
+    tail = PROCESSED[len(ad.MESSAGES_SQL) + 1 :].replace("FROM messages", "FROM threaded_messages")
+    return f"""{source}, {graph(table, order).rstrip(',')}, {_levels(table)},
+selected AS MATERIALIZED (SELECT * FROM {table} WHERE tweet_id IN (SELECT tweet_id FROM r10)),
+{threads('selected', order)},
+threaded_messages AS MATERIALIZED (
+  SELECT t.conversation_id, tweet_id, t.role, author_id, {order} AS created_at, coalesce(text, '') AS text
+  FROM threaded t JOIN selected s USING (tweet_id)
+),
+{tail}"""
+
+
 TERMS = f"""
 toks AS MATERIALIZED (
   SELECT doc_id, regexp_extract_all(lower(text), {q(WORD + '{2,}')}) AS w FROM documents
@@ -460,6 +473,9 @@ def build() -> dict[str, str]:
     # cleaning and quality
     w("clean_text", CLEANED, "SELECT tweet_id, text, text_original FROM cleaned")
     o["clean_documents"] = f"SELECT doc_id, {clean('text')} AS text FROM documents"
+    w("cleaning_samples", CLEANED,
+      "SELECT tweet_id, text_original, text FROM cleaned WHERE text <> text_original "
+      "ORDER BY md5(concat(tweet_id, '|42')), tweet_id LIMIT 3")
     w("cleaning_report", CLEANED,
       f"SELECT count(*) AS messages, count(*) FILTER (text <> text_original) AS modified, "
       f"{pct('count(*) FILTER (text <> text_original)', 'count(*)')} AS modified_pct FROM cleaned")
@@ -467,12 +483,23 @@ def build() -> dict[str, str]:
     stages = ["empty_text", "system_messages", "too_short", "duplicates", "short_conversations", "short_conversations_threads"]
     w("quality_removals", f"{PROCESSED}, {SUMMARY_TAIL}",
       " UNION ALL ".join(f"SELECT '{s}' AS stage, {i}::BIGINT AS position, removed_{s} AS removed FROM removed" for i, s in enumerate(stages)))
-    w("preprocessing_summary", f"{PROCESSED}, {SUMMARY_TAIL}",
-      "SELECT (SELECT count(*) FROM messages) AS raw_total_rows, sum(n)::BIGINT AS final_total_messages, count(*) AS final_total_conversations, "
-      "round(avg(n), 2) AS mean_length, round(quantile_cont(n, 0.5), 2) AS median_length, max(n) AS max_length, min(n) AS min_length, "
-      "round(stddev_samp(n), 2) AS std_length, sum(c)::BIGINT AS customer_messages, sum(b)::BIGINT AS brand_messages, "
-      + ", ".join(f"(SELECT removed_{s} FROM removed) AS removed_{s}" for s in stages)
-      + f", {pct('sum(n)', '(SELECT count(*) FROM messages)', 2)} AS retention_rate FROM sizes")
+    from_tweets = end_to_end(ad.TWEETS_SQL, "tweets", "created_at")
+    run_columns = "SELECT conversation_id, tweet_id, role, text FROM processed"
+    w("preprocess_messages", from_tweets, run_columns, True)
+    w("preprocess_messages_events", end_to_end(ad.EVENT_TWEETS_SQL, "event_tweets", "created_us"), run_columns, True)
+    w("preprocess_conversations", f"{from_tweets},{CONVERSATIONS[len(PROCESSED) + 1 :]}", "SELECT *, 0::BIGINT AS part FROM conv", True)
+
+    def summary(raw: str) -> str:
+        return (
+            f"SELECT (SELECT count(*) FROM {raw}) AS raw_total_rows, sum(n)::BIGINT AS final_total_messages, count(*) AS final_total_conversations, "
+            "round(avg(n), 2) AS mean_length, round(quantile_cont(n, 0.5), 2) AS median_length, max(n) AS max_length, min(n) AS min_length, "
+            "round(stddev_samp(n), 2) AS std_length, sum(c)::BIGINT AS customer_messages, sum(b)::BIGINT AS brand_messages, "
+            + ", ".join(f"(SELECT removed_{s} FROM removed) AS removed_{s}" for s in stages)
+            + f", {pct('sum(n)', f'(SELECT count(*) FROM {raw})', 2)} AS retention_rate FROM sizes"
+        )
+
+    w("preprocessing_summary", f"{PROCESSED}, {SUMMARY_TAIL}", summary("messages"))
+    w("preprocess_summary", f"{from_tweets}, {SUMMARY_TAIL}", summary("tweets"), True)
 
     # conversations
     w("overview_counts", PROCESSED,

@@ -26,7 +26,7 @@ from threadlens.operators import retrieval as rt
 from threadlens.operators import signals as sg
 from threadlens.operators import themes as th
 from threadlens.operators.ordering import find_hot_groups
-from threadlens.plans.preprocess import clean_and_filter
+from threadlens.plans.preprocess import clean_and_filter, preprocess
 from threadlens.plans import explore as explore_plan
 from threadlens.plans import scoring
 from threadlens.sources import readers, writers
@@ -258,6 +258,32 @@ def preprocessing_summary(spark, sf):
     )
 
 
+# -- whole runs from raw messages ---------------------------------------------
+
+
+RUN_COLUMNS = ["conversation_id", "tweet_id", "role", "text"]
+
+
+@query
+def preprocess_messages(spark, sf):
+    return preprocess(ad.tweets(spark, sf), P).messages.select(*RUN_COLUMNS)
+
+
+@query
+def preprocess_messages_events(spark, sf):
+    return preprocess(ad.event_tweets(spark, sf), P).messages.select(*RUN_COLUMNS)
+
+
+@query
+def preprocess_conversations(spark, sf):
+    return preprocess(ad.tweets(spark, sf), P).conversations
+
+
+@query
+def preprocess_summary(spark, sf):
+    return preprocess(ad.tweets(spark, sf), P).summary
+
+
 # -- conversations -----------------------------------------------------------
 
 
@@ -482,7 +508,7 @@ def benchmark_queries(spark, sf):
 @query
 def retrieve_topk(spark, sf):
     top = rt.text_topk(
-        benchmark_queries(spark, sf), documents(spark, sf), P.top_k, P.retrieval_features, P.block_rows
+        benchmark_queries(spark, sf), documents(spark, sf), P.top_k, P.retrieval_features
     )
     return top.select("query_id", "doc_id", F.round("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
 
@@ -494,7 +520,7 @@ def opening_topk(spark, sf):
     )
     queries = pairs.select(F.col("doc_id").alias("query_id"), F.col("brand_reply").alias("text"))
     corpus = pairs.select("doc_id", F.col("customer_text").alias("text"))
-    top = rt.text_topk(queries, corpus, P.top_k, P.retrieval_features, P.block_rows)
+    top = rt.text_topk(queries, corpus, P.top_k, P.retrieval_features)
     return rt.evidence_list(top, pairs), pairs
 
 

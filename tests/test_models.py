@@ -75,11 +75,14 @@ def test_document_frequency_bounds(spark):
     assert kept == {"bb": (2, 2)}
 
 
-@pytest.mark.parametrize("block_rows", [7, 1000])
-def test_topk_is_exact_for_any_block_size(spark, block_rows):
-    corpus, asked = texts(50, 2), [*texts(12, 3), "zzz unknown", "  "]
-    got = rt.text_topk(frame(spark, asked, "query_id"), frame(spark, corpus), 4, 30, block_rows).collect()
-    vector = brute_tfidf(corpus, 30)
+@pytest.mark.parametrize("k, cap", [(1, 30), (4, 30), (4, None), (50, 30)])
+def test_topk_is_exact(spark, monkeypatch, k, cap):
+    # one term in every document; few seeds, so that the floors are low
+    corpus = [f"{t} everywhere" for t in texts(50, 2)]
+    asked = [*texts(12, 3), "everywhere", "zzz unknown", "  "]
+    monkeypatch.setattr(rt, "SEED_POSTINGS", 1)
+    got = rt.text_topk(frame(spark, asked, "query_id"), frame(spark, corpus), k, cap).collect()
+    vector = brute_tfidf(corpus, cap)
     docs = [vector(t) for t in corpus]
     for i, text in enumerate(asked):
         mine = [(r["doc_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == i]
@@ -88,7 +91,7 @@ def test_topk_is_exact_for_any_block_size(spark, block_rows):
             continue
         v = vector(text)
         scores = [round(sum(w * d.get(t, 0) for t, w in v.items()), 9) for d in docs]
-        want = sorted(range(50), key=lambda j: (-scores[j], j))[:4]
+        want = sorted(range(50), key=lambda j: (-scores[j], j))[:k]
         assert [d for d, _ in mine] == want
         assert [s for _, s in mine] == pytest.approx([scores[j] for j in want], abs=1e-8)
 
@@ -111,7 +114,7 @@ def test_retrieval_fixture_and_k_beyond_corpus(spark):
     rows = [("c1", "Where is my parcel tracking now"), ("c2", "charged twice on the card"), ("c3", "app crashes in cart")]
     corpus = spark.createDataFrame(rows, "doc_id string, text string")
     asked = spark.createDataFrame([("q", "where is my parcel?")], "query_id string, text string")
-    got = rt.text_topk(asked, corpus, 10, 10_000, 100).orderBy("rank").collect()
+    got = rt.text_topk(asked, corpus, 10, 10_000).orderBy("rank").collect()
     assert [r["doc_id"] for r in got] == ["c1", "c2", "c3"] and got[2]["score"] == 0.0
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from threadlens.functions import text as tx
+from threadlens.operators.ordering import numbered
 from threadlens.sources.tables import materialize
 
 
@@ -87,16 +88,12 @@ def fit(
 ) -> Vocabulary:
     """Fit once and keep the vocabulary as a written table.
 
-    With ``index`` the terms also get a dense number ``idx`` in term order.  This
-    needs a size cap, because the terms are sorted as one array.
+    With ``index`` the terms also get a dense number ``idx`` in term order, by a
+    range-partitioned sort.
     """
     table = vocabulary(counts, n_docs, max_features, min_df, max_df)
     if index:
-        if max_features is None:
-            raise ValueError("an index needs max_features")
-        entries = F.sort_array(F.collect_list(F.struct("term", "df", "tf", "idf")))
-        numbered = table.agg(entries.alias("e")).select(F.posexplode("e").alias("idx", "t"))
-        table = numbered.select("t.term", "t.df", "t.tf", "t.idf", "idx")
+        table = numbered(table, ["term"], "idx").withColumn("idx", F.col("idx").cast("int"))
     return Vocabulary(materialize(table, "vocabulary"), max_features, sublinear, n_docs)
 
 

@@ -38,7 +38,7 @@ def cleaning_samples(cleaned: DataFrame, n: int = 3, seed: int = 42) -> DataFram
     """A seeded sample of changed messages, before and after."""
     return (
         cleaned.filter(F.col("text") != F.col("text_original"))
-        .orderBy(F.xxhash64("tweet_id", F.lit(seed)), "tweet_id")
+        .orderBy(F.md5(F.concat("tweet_id", F.lit(f"|{seed}"))), "tweet_id")
         .limit(n)
         .select("tweet_id", "text_original", "text")
     )

@@ -1,9 +1,10 @@
 """Exact top-k similarity search, nearest-neighbour and constant baselines.
 
-Scores of all query-document pairs are never emitted.  Queries and corpus are cut
-into blocks of bounded size; one task scores one block pair as a matrix product
-and returns only the best k documents of each query.  With one block of queries
-the corpus is moved once.
+Text queries meet documents on the terms that can matter (``_sparse_topk``).  Dense
+vectors have no such terms: queries and corpus are cut into blocks of bounded size, one
+task scores one block pair as a matrix product and returns the best k documents of each
+query.  That is exact and moves the corpus once per block of queries, so it is meant for
+query tables of a few blocks.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from threadlens.operators import features
 from threadlens.sources.tables import materialize
 
 SCORE_DIGITS = 9  # scores are compared at this precision, ties go to the lower id
+MARGIN = 1e-8  # scores that differ by less may tie after rounding
+SEED_POSTINGS = 8  # times k postings give the first lower bound of a query's k-th score
 
 
 def _blocks(n_rows: int, block_rows: int) -> int:
@@ -45,32 +48,6 @@ def _dense_scores(q: pd.DataFrame, c: pd.DataFrame) -> np.ndarray:
     return unit(q["vector"]) @ unit(c["vector"]).T
 
 
-def _sparse_scores(q: pd.DataFrame, c: pd.DataFrame, chunk: int = 20_000) -> np.ndarray:
-    """Dot products of sparse rows, in chunks of stored corpus weights."""
-    size = 1 + max(
-        (int(v[-1]) for col in (q["indices"], c["indices"]) for v in col if len(v)), default=0
-    )
-    table = np.zeros((size, len(q)))
-    for j, (idx, val) in enumerate(zip(q["indices"], q["values"])):
-        table[np.asarray(idx, dtype=np.int64), j] = val
-    out = np.zeros((len(q), len(c)))
-    lengths = np.array([len(v) for v in c["indices"]])
-    start = 0
-    while start < len(c):
-        stop, total = start, 0
-        while stop < len(c) and (stop == start or total + lengths[stop] <= chunk):
-            total += lengths[stop]
-            stop += 1
-        rows = np.flatnonzero(lengths[start:stop]) + start
-        if len(rows):
-            idx = np.concatenate([c["indices"].iat[r] for r in rows])
-            val = np.concatenate([c["values"].iat[r] for r in rows])
-            ends = np.concatenate([[0], np.cumsum(lengths[rows])[:-1]])
-            out[:, rows] = np.add.reduceat(table[idx] * val[:, None], ends, axis=0).T
-        start = stop
-    return out
-
-
 def _blocked_topk(
     queries: DataFrame, corpus: DataFrame, vector_columns: list[str], k: int, block_rows: int, score
 ) -> DataFrame:
@@ -118,23 +95,98 @@ def dense_topk(queries: DataFrame, corpus: DataFrame, k: int, block_rows: int) -
 
 @dataclass(frozen=True)
 class TextIndex:
-    """A fitted vocabulary and the written sparse rows of a corpus."""
+    """A fitted vocabulary and the written postings of a corpus.
+
+    ``postings`` are (doc_id, term, weight), ``terms`` (term, largest, n_docs) with the
+    largest weight of a term in any document, ``ids`` all doc_ids.
+    """
 
     vocab: features.Vocabulary
-    rows: DataFrame
+    postings: DataFrame
+    terms: DataFrame
+    ids: DataFrame
     ngram_max: int
 
 
-def build_index(corpus: DataFrame, max_features: int, ngram_max: int = 2) -> TextIndex:
+def build_index(corpus: DataFrame, max_features: int | None, ngram_max: int = 2) -> TextIndex:
     """Index a corpus (doc_id, text)."""
     counts = materialize(features.doc_terms(corpus, ngram_max=ngram_max), "corpus-terms")
-    vocab = features.fit(counts, corpus.count(), max_features, index=True)
-    rows = features.with_empty_rows(features.sparse_rows(counts, vocab), corpus.select("doc_id"))
-    return TextIndex(vocab, materialize(rows, "corpus-rows"), ngram_max)
+    vocab = features.fit(counts, corpus.count(), max_features)
+    postings = materialize(features.weights(counts, vocab), "postings")
+    terms = postings.groupBy("term").agg(
+        F.max("weight").alias("largest"), F.count("*").alias("n_docs")
+    )
+    return TextIndex(
+        vocab,
+        postings,
+        materialize(terms, "posting-terms"),
+        materialize(corpus.select("doc_id"), "corpus-ids"),
+        ngram_max,
+    )
 
 
-def search(queries: DataFrame, index: TextIndex, k: int, block_rows: int) -> DataFrame:
-    """TF-IDF cosine top-k of queries (query_id, text).
+def _sparse_topk(weights: DataFrame, index: TextIndex, k: int) -> DataFrame:
+    """The k best (query_id, doc_id, score) of queries (query_id, term, weight), exactly.
+
+    A query's rarest terms are looked up first.  The k-th best sum they give is a floor
+    for the k-th best score.  Terms that even at their largest weights stay below the
+    floor all together cannot bring in a document by themselves, so frequent terms are
+    seldom looked up; they only complete the scores of documents found by the others.
+    """
+    terms = weights.select("query_id", "term", F.col("weight").alias("q")).join(index.terms, "term")
+    by_rarity = Window.partitionBy("query_id").orderBy("n_docs", "term")
+    seen = F.sum("n_docs").over(by_rarity) - F.col("n_docs")
+    terms = materialize(
+        terms.withColumn("bound", F.col("q") * F.col("largest")).withColumn(
+            "seed", seen < SEED_POSTINGS * k
+        ),
+        "query-terms",
+    )
+    postings = index.postings.withColumnRenamed("weight", "d")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
+
+    def scored(chosen: DataFrame) -> DataFrame:
+        pairs = chosen.join(postings, "term")
+        return pairs.groupBy("query_id", "doc_id").agg(F.sum(F.col("q") * F.col("d")).alias("score"))
+
+    seeds = scored(terms.filter("seed")).withColumn("rank", F.row_number().over(best))
+    floors = (
+        seeds.filter(F.col("rank") <= k)
+        .groupBy("query_id")
+        .agg(F.when(F.count("*") == k, F.min("score")).alias("floor"))
+    )
+    by_bound = Window.partitionBy("query_id").orderBy("bound", "term").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    terms = terms.join(floors, "query_id", "left").withColumns(
+        {"floor": F.coalesce("floor", F.lit(0.0)) - MARGIN, "upto": F.sum("bound").over(by_bound)}
+    )
+    terms = materialize(terms.withColumn("leads", F.col("upto") >= F.col("floor")), "query-leads")
+    rest = terms.groupBy("query_id").agg(
+        F.first("floor").alias("floor"),
+        F.coalesce(F.sum(F.when(~F.col("leads"), F.col("bound"))), F.lit(0.0)).alias("rest"),
+    )
+    found = (
+        scored(terms.filter("leads"))
+        .join(rest, "query_id")
+        .filter(F.col("score") + F.col("rest") >= F.col("floor"))
+        .select("query_id", "doc_id", "score")
+    )
+    found = materialize(found, "candidates")
+    more = (
+        found.select("query_id", "doc_id")
+        .join(terms.filter(~F.col("leads")).select("query_id", "term", "q"), "query_id")
+        .join(postings, ["doc_id", "term"])
+        .select("query_id", "doc_id", (F.col("q") * F.col("d")).alias("score"))
+    )
+    whole = found.unionByName(more).groupBy("query_id", "doc_id").agg(
+        F.round(F.sum("score"), SCORE_DIGITS).alias("score")
+    )
+    return whole.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
+def search(queries: DataFrame, index: TextIndex, k: int) -> DataFrame:
+    """TF-IDF cosine top-k of queries (query_id, text): (query_id, doc_id, score, rank).
 
     Blank queries return nothing.  Documents of similarity zero fill the k places
     in id order when fewer documents share a term with the query.
@@ -143,21 +195,41 @@ def search(queries: DataFrame, index: TextIndex, k: int, block_rows: int) -> Dat
         F.col("query_id").alias("doc_id"), tx.ustrip(F.col("text")).alias("text")
     )
     counts = features.doc_terms(asked, ngram_max=index.ngram_max)
-    rows = features.sparse_rows(counts, index.vocab)
-    q = features.with_empty_rows(rows, asked.select("doc_id"))
-    q = materialize(q.withColumnRenamed("doc_id", "query_id"), "query-rows")
-    return _blocked_topk(q, index.rows, ["indices", "values"], k, block_rows, _sparse_scores)
+    weights = features.weights(counts, index.vocab).withColumnRenamed("doc_id", "query_id")
+    best = materialize(_sparse_topk(weights, index, k), "matches")
+    # at most k lowest ids are taken by matches, so 2 k of them are enough to fill up
+    lowest = [r["doc_id"] for r in index.ids.orderBy("doc_id").limit(2 * k).collect()]
+    kind = index.ids.schema["doc_id"].dataType.simpleString()
+    fillers = F.array(*[F.lit(x) for x in lowest]).cast(f"array<{kind}>")
+    matched = best.groupBy(F.col("query_id").alias("doc_id")).agg(
+        F.collect_list("doc_id").alias("matched")
+    )
+    matched_ids = F.coalesce("matched", F.array().cast(f"array<{kind}>"))
+    have = F.size(matched_ids)
+    filled = (
+        asked.select("doc_id")
+        .join(matched, "doc_id", "left")
+        .select(
+            F.col("doc_id").alias("query_id"),
+            have.alias("have"),
+            F.posexplode(F.slice(F.array_except(fillers, matched_ids), 1, F.lit(k) - have)).alias(
+                "place", "doc_id"
+            ),
+        )
+        .select(
+            "query_id",
+            "doc_id",
+            F.lit(0.0).alias("score"),
+            (F.col("have") + F.col("place") + 1).alias("rank"),
+        )
+    )
+    return best.unionByName(filled)
 
 
 def text_topk(
-    queries: DataFrame,
-    corpus: DataFrame,
-    k: int,
-    max_features: int,
-    block_rows: int,
-    ngram_max: int = 2,
+    queries: DataFrame, corpus: DataFrame, k: int, max_features: int | None, ngram_max: int = 2
 ) -> DataFrame:
-    return search(queries, build_index(corpus, max_features, ngram_max), k, block_rows)
+    return search(queries, build_index(corpus, max_features, ngram_max), k)
 
 
 def evidence_list(matches: DataFrame, evidence: DataFrame) -> DataFrame:
@@ -191,7 +263,7 @@ def nearest_baseline(
     lowered = queries.select("query_id", F.lower(tx.ustrip(F.col(text))).alias("text"))
     # a query without known terms is as near to every row: the first one answers
     keyed = lowered.withColumn("text", F.when(F.col("text") == "", F.lit("-")).otherwise(F.col("text")))
-    best = text_topk(keyed, corpus, 1, p.classifier_features, p.block_rows)
+    best = text_topk(keyed, corpus, 1, p.classifier_features)
     answers = best.join(corpus.select("doc_id", "label", "reply"), "doc_id")
     escalate = tx.contains_any(F.col("text"), P.NEAREST_BASELINE_WORDS)
     return lowered.join(answers, "query_id").select(

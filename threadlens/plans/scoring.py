@@ -47,7 +47,7 @@ def fit_scorer(training: DataFrame, evidence: DataFrame, p: Params) -> Scorer:
     )
 
     def retrieve(queries: DataFrame) -> DataFrame:
-        return rt.evidence_list(rt.search(queries, index, p.top_k, p.block_rows), corpus)
+        return rt.evidence_list(rt.search(queries, index, p.top_k), corpus)
 
     return Scorer(
         classify=lambda messages: cl.classify(messages, model),
