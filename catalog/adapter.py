@@ -202,7 +202,7 @@ def event_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Annotation records: one per message, many ids occur repeatedly.
 ANNOTATION_ID = (
-    f"CASE WHEN {N} % 47 = 0 THEN '' WHEN {N} % 53 = 0 THEN NULL ELSE 'id' END"
+    f"CASE WHEN {N} % 47 = 0 OR conv_id % 5 = 2 THEN '' WHEN {N} % 53 = 0 THEN NULL ELSE 'id' END"
 )
 ANNOTATION_INTENT = (
     f"CASE WHEN {N} % 61 = 3 THEN '' ELSE CASE {N} % 13 "

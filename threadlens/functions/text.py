@@ -180,6 +180,6 @@ def percentage(part: Column, total: Column, digits: int = 1) -> Column:
     )
 
 
-def grouped_number(n: Column) -> Column:
-    """Thousands separators; two decimals are kept for fractional columns."""
-    return F.format_number(n, 0)
+def grouped_number(n: Column, digits: int = 0) -> Column:
+    """Thousands separators, and ``digits`` decimals (two for fractional numbers)."""
+    return F.format_number(n, digits)
