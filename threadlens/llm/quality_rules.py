@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadlens.functions.text import once
 from threadlens.llm.common import BLANK, WORD, text_of, words_of
 from threadlens.sources.tables import materialize
 
@@ -44,16 +45,19 @@ def _removed(text: Column, characters: str) -> Column:
     return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
-def text_statistics(docs: DataFrame) -> DataFrame:
+def text_statistics(docs: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """doc_id and the counts behind rules and base filter, one row per row of ``docs``.
 
+    ``carried`` names further columns to keep.
+
     Words are maximal runs without the six ASCII blanks; a null text has none.  A word
     belongs to ``n_repeat_words`` if a window of three words that covers it occurs twice
     or more in the text.  Each text is read where it is; nothing is shuffled.
     """
     text = F.col("_text")
-    rows = docs.select("doc_id", text_of().alias("_text")).select(
+    rows = docs.select("doc_id", *carried, text_of().alias("_text")).select(
         "doc_id",
+        *carried,
         words_of(text).alias("_words"),
         F.length(F.regexp_replace(text, BLANK + "+", "")).cast("bigint").alias("word_chars"),
         _removed(text, SYMBOLS).cast("bigint").alias("n_symbols"),
@@ -76,6 +80,7 @@ def text_statistics(docs: DataFrame) -> DataFrame:
     n_lines = F.size("_lines").cast("bigint")
     return rows.select(
         "doc_id",
+        *carried,
         F.size("_words").cast("bigint").alias("n_words"),
         "word_chars",
         "n_symbols",
@@ -258,10 +263,13 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, **settings) -> DataFram
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that base filter and learned rules keep.
+    """The rows of ``docs`` that base filter and learned rules keep, each judged by its text.
 
-    A rejected doc_id takes all its rows along when they differ in text.
+    The texts are read twice, to learn and to judge, and never move.
     """
-    verdicts = quality_verdicts(docs, labels, **settings)
-    gone = verdicts.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    rules = learn_rules(materialize(text_statistics(docs), "rules-statistics"), labels, **settings)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), "doc_id", "text")
+    verdict = ~base_failed() & rules.keeps()
+    # generated once per row: a filter on the expression would repeat it for every use
+    judged = text_statistics(rows, ["_row"]).select("_row", once(verdict).alias("_keep"))
+    return judged.filter("_keep").select("_row.*")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from threadlens.llm.common import connected_components
+from threadlens.llm.common import bitmaps, connected_components, filter_bits, with_bit
 from threadlens.sources.tables import materialize
 
 SEED = 42
@@ -286,4 +286,13 @@ def drop_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     """
     groups = simhash_groups(docs, **settings)
     gone = groups.filter("doc_id > component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    gone = materialize(gone, "simhash-gone")
+    bits = filter_bits(gone.count(), 16, 1 << 27)
+    cell = lambda c: F.xxhash64(c).bitwiseAND(F.lit(bits - 1)) + 1
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_id")
+    )
+    # documents that a filter of bounded size does not suspect stay where they are
+    flagged = with_bit(rows, cell("_id"), bitmaps(gone.select(cell("_gone").alias("cell"))), "_some")
+    left = flagged.filter("_some").join(gone, F.col("_id") == F.col("_gone"), "left_anti")
+    return flagged.filter("not _some").unionByName(left).select("_row.*")
