@@ -106,14 +106,28 @@ def plain_removed(texts, distance=3):
                 places.append((i, p, key))
     names = list(keys)
     prints = [line_print(k) for k in names]
-    root = list(range(len(names)))
-    for a in range(len(names)):
-        for b in range(a):
-            if (prints[a] ^ prints[b]).bit_count() <= distance and edit_distance(
-                names[a], names[b]
-            ) <= int(0.2 * max(len(names[a]), len(names[b])) + 1e-9):
-                x, y = root[a], root[b]
-                root = [min(x, y) if r in (x, y) else r for r in root]
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    hashes = [xxhash.xxh64_intdigest(n, 42) for n in names]
+    hashes = [h - (1 << 64) if h >> 63 else h for h in hashes]
+    n = len(names)
+
+    def similar(a, b):
+        most = max(len(names[a]), len(names[b]))
+        return edit_distance(names[a], names[b]) <= int(0.2 * most + 1e-9)
+
+    def merged(pairs):
+        root = list(range(n))
+        for a, b in pairs:
+            x, y = root[a], root[b]
+            root = [min(x, y) if r in (x, y) else r for r in root]
+        return root
+
+    links = [(b, a) for a in range(n) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= distance]
+    component = merged(links)
+    # heads: of a component the one with the smallest fingerprint, then the smallest hash
+    head = {c: min((signed[i], hashes[i], i) for i in range(n) if component[i] == c)[2] for c in component}
+    links += [(head[component[i]], i) for i in range(n) if head[component[i]] != i]
+    root = merged([(a, b) for a, b in links if similar(a, b)])
     first, removed = {}, {i: [] for i in range(len(texts))}
     for i, p, key in places:
         if first.setdefault(root[keys[key]], (i, p)) != (i, p):
