@@ -286,7 +286,11 @@ def drop_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     """
     groups = simhash_groups(docs, **settings)
     gone = groups.filter("doc_id > component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = materialize(gone, "simhash-gone")
+    return without_ids(docs, materialize(gone, "simhash-gone"))
+
+
+def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not in the written table ``gone`` (_gone)."""
     bits = filter_bits(gone.count(), 16, 1 << 27)
     cell = lambda c: F.xxhash64(c).bitwiseAND(F.lit(bits - 1)) + 1
     rows = docs.select(
