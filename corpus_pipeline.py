@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from threadlens.llm.exact_dedup import drop_exact_duplicates
 from threadlens.llm.mixing import mix
-from threadlens.llm.near_dedup import drop_similar_documents
 from threadlens.llm.packing import pack_documents
 from threadlens.llm.quality_rules import keep_good
+from threadlens.llm.simhash_dedup import drop_near_duplicates
 from threadlens.sources.tables import materialize
 
 
@@ -27,8 +27,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id."""
-    return drop_similar_documents(docs)
+    """One document of each group of linked fingerprints stays, the one with the smallest id."""
+    return drop_near_duplicates(docs, shingle_words=4, distance=4)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
