@@ -101,10 +101,13 @@ def plain_removed(texts, distance=3):
     for i, t in enumerate(texts):
         for p, line in enumerate((t or "").split("\n")):
             key = norm(line)
-            if len(key.split(" ")) >= 5:
+            if key:
                 keys.setdefault(key, len(keys))
                 places.append((i, p, key))
-    names = list(keys)
+    # equal lines of any length go; only lines of five words and more are compared
+    names = sorted(keys, key=lambda k: len(k.split(" ")) < 5)
+    keys = {k: i for i, k in enumerate(names)}
+    n_long = sum(len(k.split(" ")) >= 5 for k in names)
     prints = [line_print(k) for k in names]
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
     hashes = [xxhash.xxh64_intdigest(n, 42) for n in names]
@@ -122,7 +125,7 @@ def plain_removed(texts, distance=3):
             root = [min(x, y) if r in (x, y) else r for r in root]
         return root
 
-    links = [(b, a) for a in range(n) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= distance]
+    links = [(b, a) for a in range(n_long) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= distance]
     component = merged(links)
     # heads: of a component the one with the smallest fingerprint, then the smallest hash
     head = {c: min((signed[i], hashes[i], i) for i in range(n) if component[i] == c)[2] for c in component}

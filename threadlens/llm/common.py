@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,40 +98,6 @@ def connected_components(links: DataFrame, name: str = "components") -> DataFram
     )
 
 
-def verified_components(
-    members: DataFrame, compared: Callable[[DataFrame], DataFrame], name: str
-) -> DataFrame:
-    """(node, root) of the nodes that similar pairs link; pairs meet in buckets (bucket, node).
-
-    ``compared`` adds ``close`` to pairs (ka, kb).  Every node meets the smallest of its
-    bucket first.  A node that is not similar to it is compared with all others in the
-    bucket that are not yet in its component: of a pair that is similar either both are
-    linked to the smallest node, or the pair itself is compared.
-    """
-    low = members.groupBy("bucket").agg(F.min("node").alias("low"), F.count("*").alias("n"))
-    # written, so that adaptive execution can split full buckets
-    members, low = materialize(members, f"{name}-members"), materialize(low.filter("n > 1"), f"{name}-low")
-    met = materialize(members.join(low.drop("n"), "bucket").filter("node <> low"), f"{name}-met")
-    stars = met.select(F.col("low").alias("ka"), F.col("node").alias("kb")).distinct()
-    checked = materialize(compared(materialize(stars, f"{name}-stars")), f"{name}-checked")
-    edges = lambda df: df.filter("close").select(F.col("ka").alias("a"), F.col("kb").alias("b"))
-    roots = materialize(connected_components(edges(checked), f"{name}-first"), f"{name}-first-roots")
-    failed = checked.filter("not close").select(F.col("ka").alias("low"), F.col("kb").alias("node"))
-    root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
-    left = met.join(failed, ["low", "node"]).select("bucket", F.col("node").alias("x"))
-    left = materialize(left.join(root("x"), "x", "left"), f"{name}-left")
-    others = met.select("bucket", F.col("node").alias("y")).join(left.select("bucket").distinct(), "bucket", "left_semi")
-    others = materialize(others.join(root("y"), "y", "left"), f"{name}-others")
-    pairs = left.join(others, "bucket").filter(
-        (F.col("x") != F.col("y"))
-        & (F.coalesce("x_root", "x") != F.coalesce("y_root", "y"))
-    )
-    pairs = pairs.select(F.least("x", "y").alias("ka"), F.greatest("x", "y").alias("kb")).distinct()
-    pairs = materialize(pairs.join(checked, ["ka", "kb"], "left_anti"), f"{name}-more")
-    more = materialize(compared(pairs), f"{name}-more-checked")
-    return connected_components(edges(checked).unionByName(edges(more)), f"{name}-groups")
-
-
 def _same_rows(a: DataFrame, b: DataFrame) -> bool:
     """Whether two sets of edges agree, by their number and two sums of hashes."""
 
