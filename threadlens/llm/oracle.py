@@ -99,3 +99,52 @@ SELECT c.page_id, c.fetched_second, coalesce(l.lists, '') AS lists,
        l.lists IS NOT NULL AND NOT l.allowed AS blocked
 FROM captures c LEFT JOIN listed l ON c.page_id = l.page_id AND c.url = l.url
 """
+
+SQL["op11_phrase_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), listed AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), placed AS (
+    SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM listed
+), counts AS (
+    SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM placed, (VALUES (1), (2), (3), (4)) sizes(k)
+    WHERE i + k - 1 <= len(ws)
+    GROUP BY lang, k, phrase HAVING count(*) >= 30
+), totals AS (
+    SELECT lang, count(*) AS n FROM placed GROUP BY lang
+), parts AS (
+    SELECT lang, k, phrase, f, string_split(phrase, ' ') AS ws FROM counts
+), cuts AS (
+    SELECT lang, k, phrase, f, cut, array_to_string(ws[1:cut], ' ') AS head,
+           array_to_string(ws[cut + 1:], ' ') AS tail
+    FROM parts, (VALUES (1), (2), (3)) at(cut) WHERE cut < k
+), scored AS (
+    SELECT c.lang, c.k, c.phrase, c.f AS a, c.cut, h.f AS l, t.f AS r,
+           2000000::HUGEINT * c.f // (h.f::HUGEINT + t.f) AS score
+    FROM cuts c
+    JOIN counts h ON h.lang = c.lang AND h.phrase = c.head AND h.k = c.cut
+    JOIN counts t ON t.lang = c.lang AND t.phrase = c.tail AND t.k = c.k - c.cut
+), lowest AS (
+    SELECT * FROM scored
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inner_parts AS (
+    SELECT lang, f, array_to_string(ws[i:i + size - 1], ' ') AS phrase
+    FROM parts, (VALUES (2), (3)) sizes(size), (VALUES (1), (2), (3)) starts(i)
+    WHERE size < k AND i + size - 1 <= k
+), longest AS (
+    SELECT lang, phrase, max(f) AS f FROM inner_parts GROUP BY lang, phrase
+), kept AS (
+    SELECT s.* FROM lowest s LEFT JOIN longest g ON g.lang = s.lang AND g.phrase = s.phrase
+    WHERE g.f IS NULL OR 100 * g.f::HUGEINT < 80 * s.a::HUGEINT
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, CAST(r.score AS BIGINT) AS score
+FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000
+"""
