@@ -110,6 +110,6 @@ def test_pipeline_on_an_empty_table(spark, tmp_path):
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if q.startswith(f"op{n}_")]) == 1
-    assert {"op3_exact_dedup", "op4_source_mixing", "op10_url_filter"} <= set(entry.oracle_sql())
+    assert {"op3_exact_dedup", "op4_source_mixing", "op10_url_filter", "op11_phrase_collocations"} <= set(entry.oracle_sql())

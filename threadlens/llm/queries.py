@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadlens.llm.collocations import collocations
 from threadlens.llm.exact_dedup import exact_groups
 from threadlens.llm.license_scan import scan_licenses
 from threadlens.llm.line_dedup import line_report
@@ -16,7 +17,9 @@ from threadlens.llm.packing import pack_documents
 from threadlens.llm.quality_classifier import fit_quality, score_quality
 from threadlens.llm.quality_rules import quality_verdicts
 from threadlens.llm.simhash_dedup import simhash_groups
+from threadlens.llm.spelling_variants import frequent_words, letter_runs, spelling_variants
 from threadlens.llm.suffix_dedup import remove_repeats
+from threadlens.llm.token_counts import token_counts
 from threadlens.llm.url_filter import judge_captures, url_host
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,3 +163,35 @@ def op10_url_filter(spark, sf):
         F.array_join("lists", ",").alias("lists"),
         "blocked",
     )
+
+
+@query
+def op11_phrase_collocations(spark, sf):
+    """The best-scoring phrases of every language with the counts behind their scores."""
+    return collocations(table(spark, sf, "documents"))
+
+
+#: One run in so many loses a character, which makes misspellings.
+MISSPELT = 97
+
+
+def misspelt_runs(docs: DataFrame) -> DataFrame:
+    """(word) of all letter runs; of some, by a checksum of document and run, one character is left out."""
+    runs = letter_runs(docs)
+    own_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    h = F.crc32(F.concat(own_id, F.lit(":"), F.col("run")).cast("binary"))
+    at = (h % F.length("run")).cast("int")
+    less = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    return runs.select(F.when(h % MISSPELT == 0, less).otherwise(F.col("run")).alias("word"))
+
+
+@query
+def op12_spelling_variants(spark, sf):
+    """Near words, more frequent form and its root of every frequent word of the documents."""
+    return spelling_variants(frequent_words(misspelt_runs(table(spark, sf, "documents"))))
+
+
+@query
+def op13_token_counts(spark, sf):
+    """Bytes and tokens of every document, and whether it is over the limit."""
+    return token_counts(table(spark, sf, "documents"))
