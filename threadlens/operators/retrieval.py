@@ -1,18 +1,13 @@
 """Exact top-k similarity search, nearest-neighbour and constant baselines.
 
 Text queries meet documents on the terms that can matter (``_sparse_topk``).  Dense
-vectors have no such terms: queries and corpus are cut into blocks of bounded size, one
-task scores one block pair as a matrix product and returns the best k documents of each
-query.  That is exact and moves the corpus once per block of queries, so it is meant for
-query tables of a few blocks.
+vectors have no such terms; see ``operators.dense``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,79 +15,12 @@ from pyspark.sql.window import Window
 from threadlens import params as P
 from threadlens.functions import text as tx
 from threadlens.operators import features
+from threadlens.operators.dense import MARGIN, SCORE_DIGITS, dense_topk  # noqa: F401
 from threadlens.sources.tables import materialize
 
-SCORE_DIGITS = 9  # scores are compared at this precision, ties go to the lower id
-MARGIN = 1e-8  # scores that differ by less may tie after rounding
 SEED_POSTINGS = 8  # times k postings give the first lower bound of a query's k-th score
 
 
-def _blocks(n_rows: int, block_rows: int) -> int:
-    return max(1, -(-n_rows // block_rows))
-
-
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Column indices and row numbers of the k best scores of every row."""
-    scores = np.round(scores, SCORE_DIGITS)
-    by_id = np.argsort(ids, kind="stable")
-    order = np.argsort(-scores[:, by_id], axis=1, kind="stable")[:, :k]
-    return by_id[order], scores
-
-
-def _dense_scores(q: pd.DataFrame, c: pd.DataFrame) -> np.ndarray:
-    def unit(column):
-        m = np.array(column.tolist(), dtype=np.float64)
-        norms = np.sqrt((m * m).sum(axis=1, keepdims=True))
-        return np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
-
-    return unit(q["vector"]) @ unit(c["vector"]).T
-
-
-def _blocked_topk(
-    queries: DataFrame, corpus: DataFrame, vector_columns: list[str], k: int, block_rows: int, score
-) -> DataFrame:
-    """(query_id, doc_id, score, rank) for ids of type bigint or string."""
-    n_q = _blocks(queries.count(), block_rows)
-    n_c = _blocks(corpus.count(), block_rows)
-
-    def block(col: str, n: int):
-        return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
-
-    def every(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    q = queries.select("query_id", *vector_columns).withColumn("qb", block("query_id", n_q))
-    c = corpus.select("doc_id", *vector_columns).withColumn("cb", block("doc_id", n_c))
-    q, c = q.withColumn("cb", every(n_c)), c.withColumn("qb", every(n_q))
-
-    def best_of_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "doc_id": [], "score": []})
-        ids = right["doc_id"].to_numpy()
-        cols, scores = _best(score(left, right), ids, k)
-        rows = np.repeat(np.arange(len(left)), cols.shape[1])
-        return pd.DataFrame(
-            {
-                "query_id": left["query_id"].to_numpy()[rows],
-                "doc_id": ids[cols.ravel()],
-                "score": scores[rows, cols.ravel()],
-            }
-        )
-
-    q_type, d_type = queries.schema["query_id"].dataType, corpus.schema["doc_id"].dataType
-    schema = f"query_id {q_type.simpleString()}, doc_id {d_type.simpleString()}, score double"
-    partial = (
-        q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(best_of_block, schema)
-    )
-    window = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    return partial.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
-
-
-def dense_topk(queries: DataFrame, corpus: DataFrame, k: int, block_rows: int) -> DataFrame:
-    """Cosine top-k for tables (query_id, vector) and (doc_id, vector)."""
-    return _blocked_topk(queries, corpus, ["vector"], k, block_rows, _dense_scores)
-
-
 @dataclass(frozen=True)
 class TextIndex:
     """A fitted vocabulary and the written postings of a corpus.
