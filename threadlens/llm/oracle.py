@@ -123,7 +123,7 @@ WITH pieces AS (
 ), cuts AS (
     SELECT lang, k, phrase, f, cut, array_to_string(ws[1:cut], ' ') AS head,
            array_to_string(ws[cut + 1:], ' ') AS tail
-    FROM parts, (VALUES (1), (2), (3)) at(cut) WHERE cut < k
+    FROM parts, (VALUES (1), (2), (3)) places(cut) WHERE cut < k
 ), scored AS (
     SELECT c.lang, c.k, c.phrase, c.f AS a, c.cut, h.f AS l, t.f AS r,
            2000000::HUGEINT * c.f // (h.f::HUGEINT + t.f) AS score
