@@ -277,6 +277,56 @@ top AS MATERIALIZED (
   QUALIFY rank <= {k})"""
 
 
+def rule_classes(terms: str, docs: str, asked: str, messages: str, labels) -> str:
+    """Classes of messages (doc_id, text) by a linear model of rule-made weights.
+
+    kbest has (doc_id, text, intent, conf, cands, names, probs).
+    """
+    listed = ", ".join(f"({i}, {q(c)})" for i, c in enumerate(sorted(labels)))
+    return f"""
+{vocabulary('kvocab', terms, docs, P.classifier_features)},
+{unit('kw', asked, 'kvocab', '(1.0::DOUBLE + ln(t.tf))')},
+klabels AS (SELECT * FROM (VALUES {listed}) t(i, label)),
+kscores AS (
+  SELECT m.doc_id, l.label, 0.01::DOUBLE * l.i + coalesce(sum(
+    k.weight * ((ascii(k.term) * 31 + length(k.term) * 7 + l.i * 13) % 41 - 20) / 2.0::DOUBLE), 0.0::DOUBLE) AS s
+  FROM {messages} m CROSS JOIN klabels l LEFT JOIN kw k ON k.doc_id = m.doc_id GROUP BY m.doc_id, l.i, l.label),
+kexp AS (SELECT *, exp(s - max(s) OVER (PARTITION BY doc_id)) AS e FROM kscores),
+kprobs AS (
+  SELECT doc_id, label, e / sum(e) OVER (PARTITION BY doc_id) AS p,
+         row_number() OVER (PARTITION BY doc_id ORDER BY e DESC, label) AS place FROM kexp),
+kbest AS MATERIALIZED (
+  SELECT m.doc_id, m.text, CASE WHEN {blank('m.text')} THEN 'general_inquiry' ELSE t.names[1] END AS intent,
+         CASE WHEN {blank('m.text')} THEN 1.0::DOUBLE ELSE t.probs[1] END AS conf,
+         CASE WHEN {blank('m.text')} THEN ['general_inquiry'] ELSE t.names END AS names,
+         CASE WHEN {blank('m.text')} THEN [1.0::DOUBLE] ELSE t.probs END AS probs
+  FROM {messages} m JOIN (
+    SELECT doc_id, list(label ORDER BY place) AS names, list(p ORDER BY place) AS probs
+    FROM kprobs WHERE place <= 3 GROUP BY doc_id) t USING (doc_id))"""
+
+
+def rule_scores(asked: str) -> str:
+    """Messages qs (query_id, text) scored by rule-made weights: kdone has every part of the result."""
+    template = "CASE s.intent " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in PR.REPLY_TEMPLATES.items())
+    template += f" ELSE {q(PR.REPLY_TEMPLATES['general_inquiry'])} END"
+    return f"""
+qs AS MATERIALIZED ({asked}),
+ds AS (SELECT conversation_id AS doc_id, customer_text AS text FROM pairs),
+{sparse_topk('qs', 'ds', P.retrieval_features, 3)},
+ms AS (SELECT query_id AS doc_id, text FROM qs),
+{rule_classes('cterms', 'ds', 'qterms', 'ms', PR.INTENTS)},
+kevidence AS (
+  SELECT query_id AS doc_id, count(*) AS n_evidence, max(CASE WHEN rank = 1 THEN score END) AS best_score,
+         max(CASE WHEN rank = 1 THEN brand_reply END) AS best_reply,
+         list({{'conversation_id': conversation_id, 'customer_text': customer_text, 'brand_reply': brand_reply,
+                'similarity_score': round(score, 4)}} ORDER BY rank) AS examples
+  FROM top JOIN pairs ON pairs.conversation_id = top.doc_id GROUP BY 1),
+kdone AS MATERIALIZED (
+  SELECT s.*, coalesce(n_evidence, 0) AS n_evidence, examples, {escalation_case('s.text', 's.intent', 's.conf')},
+         CASE WHEN best_score >= 0.75 AND best_reply <> '' THEN best_reply ELSE {template} END AS reply
+  FROM kbest s LEFT JOIN kevidence USING (doc_id))"""
+
+
 def escalation_case(msg: str, intent: str, conf: str) -> str:
     branches = [
         (f"{conf} < 0.65", 0.90, f"printf('Low intent classification confidence (%.2f < threshold %.2f)', {conf}, 0.65::DOUBLE)"),
@@ -625,6 +675,46 @@ def build() -> dict[str, str]:
     w("dense_topk", "v AS MATERIALIZED (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)",
       "SELECT query_id, doc_id, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank "
       "FROM (SELECT a.vec_id AS query_id, b.vec_id AS doc_id, round(list_cosine_similarity(a.e, b.e), 9) AS score FROM v a CROSS JOIN v b)) WHERE rank <= 3")
+    mgrams = f"unnest(list_concat(w, {ngrams('w', 2)}))"
+    o["train_certificate"] = (
+        f"WITH {TERMS} SELECT (SELECT count(*) FROM documents) AS n_docs, "
+        f"(SELECT least(count(DISTINCT term), {P.classifier_features}) FROM terms) AS n_terms, "
+        "(SELECT count(DISTINCT lang) FROM documents) AS n_classes, true AS optimal")
+    w("classify_fixed", f"""{TERMS}, ms AS (SELECT item_id AS doc_id, text FROM benchmark),
+mtoks AS (SELECT doc_id, regexp_extract_all(lower(text), {q(WORD + '{2,}')}) AS w FROM ms),
+mterms AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {mgrams} AS term FROM mtoks) GROUP BY ALL),
+{rule_classes('terms', 'documents', 'mterms', 'ms', ['de', 'en', 'es', 'fr'])}""",
+      "SELECT doc_id, intent AS predicted_intent, round(conf, 6) AS confidence, "
+      "array_to_string(list_transform(range(1, len(names) + 1), lambda i: names[i] || ':' || printf('%.4f', probs[i])), ' ') AS candidates FROM kbest")
+    incoming = f"SELECT tweet_id AS query_id, {strip('text')} AS text FROM messages WHERE role = 'customer'"
+    w("score_fixed", f"{PAIRS}, {rule_scores(incoming)}",
+      "SELECT doc_id, intent AS predicted_intent, round(conf, 4) AS confidence, CAST(n_evidence AS INTEGER) AS n_evidence, "
+      "escalation_decision, escalation_reason, reply AS generated_reply FROM kdone")
+    w("inference_json_fixed", f"{PAIRS}, {rule_scores(incoming)}",
+      "SELECT doc_id, 'customer_message,predicted_intent,confidence,top_3_candidates,retrieved_examples,generated_reply,"
+      "escalation_decision,escalation_reason' AS names, text AS customer_message, intent AS predicted_intent, round(conf, 4) AS confidence, "
+      "array_to_string(list_transform(range(1, len(names) + 1), lambda i: names[i] || ':' || printf('%.4f', round(probs[i], 4))), ' ') AS candidates, "
+      "coalesce(array_to_string(list_transform(examples, lambda e: concat_ws('|', e.conversation_id, e.customer_text, e.brand_reply, "
+      "printf('%.4f', e.similarity_score))), chr(10)), '') AS examples, reply AS generated_reply, escalation_decision, escalation_reason FROM kdone")
+    gold = """gold AS MATERIALIZED (
+  SELECT g.conversation_id, c.opening_message AS customer_text, g.primary_intent, g.escalation, coalesce(p.brand_reply, '') AS brand_reply
+  FROM golden g JOIN conv c USING (conversation_id) LEFT JOIN pairs p USING (conversation_id))"""
+    asked_low = f"lower({strip('customer_text')})"
+    nearest = f"""b2 AS MATERIALIZED (WITH qs2 AS (
+  SELECT conversation_id AS query_id, CASE WHEN {asked_low} = '' THEN '-' ELSE {asked_low} END AS text, {asked_low} AS low FROM gold),
+ds2 AS (SELECT conversation_id AS doc_id, customer_text AS text FROM gold),
+{sparse_topk('qs2', 'ds2', P.classifier_features, 1)}
+SELECT query_id AS conversation_id, primary_intent AS b2_intent, round(greatest(score, 0.4::DOUBLE), 6) AS b2_confidence,
+  CASE WHEN {contains_any('low', PR.NEAREST_BASELINE_WORDS)} THEN 'ESCALATE' ELSE 'AUTO_HANDLE' END AS b2_escalation,
+  substr(brand_reply, 1, 280) AS b2_reply
+FROM top JOIN qs2 USING (query_id) JOIN gold ON gold.conversation_id = top.doc_id)"""
+    asked = f"SELECT conversation_id AS query_id, {strip('customer_text')} AS text FROM gold"
+    w("predictions_fixed", f"{CONVERSATIONS}, {PAIRS[len(PROCESSED) + 1:]}, {GOLDEN}, {gold}, {nearest}, {rule_scores(asked)}",
+      "SELECT conversation_id, customer_text, primary_intent AS true_intent, escalation AS true_escalation, brand_reply AS reference_reply, "
+      "'order_status' AS b1_intent, 0.35::DOUBLE AS b1_confidence, 'AUTO_HANDLE' AS b1_escalation, 'Thank you for reaching out to @AcmeSupport. "
+      "Please send us a Direct Message with your order details so we can assist you.' AS b1_reply, b2_intent, b2_confidence, b2_escalation, b2_reply, "
+      "k.intent AS agent_intent, round(k.conf, 6) AS agent_confidence, k.escalation_decision AS agent_escalation, k.reply AS agent_reply "
+      "FROM gold JOIN b2 USING (conversation_id) JOIN kdone k ON k.doc_id = gold.conversation_id")
     w("baseline_nearest", f"qs AS (SELECT item_id AS query_id, lower({strip('text')}) AS text FROM benchmark), "
       f"{sparse_topk('qs', 'documents', P.classifier_features, 1)}",
       f"SELECT query_id, lang AS predicted_intent, round(greatest(score, 0.4::DOUBLE), 6) AS confidence, "

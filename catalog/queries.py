@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import adapter as ad
+from threadlens import params as PR
 from threadlens.functions import prompts
 from threadlens.functions import text as tx
 from threadlens.operators import annotations as an
@@ -581,6 +582,42 @@ def classify_messages(spark, sf):
     )
 
 
+@query
+def train_certificate(spark, sf):
+    """Whether the classifier fitted on all documents is near the optimum, and its size."""
+    rows = language_training(spark, sf)
+    checked = cl.certificate(rows, cl.train(rows, P), P, GRADIENT_BOUND)
+    return checked.select("n_docs", "n_terms", "n_classes", "optimal")
+
+
+#: The mean loss of a model whose gradient is shorter changes by less than rounding.
+GRADIENT_BOUND = 1e-3
+#: Twice the weight of a term for the class number i; any rule that SQL has as well.
+RULE_WEIGHT = "(ascii(term) * 31 + length(term) * 7 + i * 13) % 41 - 20"
+RULE_INTERCEPT = 0.01
+
+
+def rule_model(docs, labels) -> cl.IntentModel:
+    """A classifier whose weights follow from terms and classes; its vocabulary is fitted."""
+    counts = materialize(ft.doc_terms(docs, ngram_max=P.ngram_max), "rule-terms")
+    vocab = ft.fit(counts, docs.count(), P.classifier_features, sublinear=True)
+    names = sorted(labels)
+    listed = F.posexplode(F.array(*[F.lit(x) for x in names])).alias("i", "label")
+    weights = vocab.table.select("term", listed).withColumn("weight", F.expr(RULE_WEIGHT) / F.lit(2.0))
+    return cl.linear_model(vocab, weights, {c: RULE_INTERCEPT * i for i, c in enumerate(names)}, P.ngram_max)
+
+
+@query
+def classify_fixed(spark, sf):
+    """Benchmark items scored by a language classifier of given weights."""
+    model = rule_model(documents(spark, sf), ["de", "en", "es", "fr"])
+    items = benchmark_queries(spark, sf).withColumnRenamed("query_id", "doc_id")
+    best = F.transform("candidates", lambda c: F.concat_ws(":", c["intent"], F.format_string("%.4f", c["prob"])))
+    return cl.classify(items, model).select(
+        "doc_id", "predicted_intent", F.round("confidence", 6).alias("confidence"), F.array_join(best, " ").alias("candidates")
+    )
+
+
 @query
 def theme_clusters(spark, sf):
     return _themes(spark, sf).clusters
@@ -704,6 +741,53 @@ def inference_json(spark, sf):
     return de.scoring_record(scored_messages(spark, sf))
 
 
+def fixed_scorer(spark, sf, final=None):
+    """Scoring by given intent weights; evidence and vocabulary are the evidence pairs."""
+    final = materialize(processed(spark, sf), "messages") if final is None else final
+    evidence = materialize(cv.evidence_pairs(final).withColumnRenamed("conversation_id", "doc_id"), "fixed-pairs")
+    model = rule_model(evidence.select("doc_id", F.col("customer_text").alias("text")), PR.INTENTS)
+    return scoring.scorer_of(model, evidence, P)
+
+
+def fixed_scores(spark, sf):
+    incoming = ad.messages(spark, sf).filter("role = 'customer'").select(F.col("tweet_id").alias("doc_id"), "text")
+    return scoring.score_messages(incoming, fixed_scorer(spark, sf))
+
+
+@query
+def score_fixed(spark, sf):
+    """All customer messages scored by given weights: intent, evidence, decision and reply."""
+    return fixed_scores(spark, sf).select(
+        "doc_id", "predicted_intent", F.round("confidence", 4).alias("confidence"),
+        F.when(F.col("evidence").isNull(), 0).otherwise(F.size("evidence")).alias("n_evidence"),
+        "escalation_decision", "escalation_reason", "generated_reply",
+    )
+
+
+@query
+def inference_json_fixed(spark, sf):
+    """The nested result records of the same scoring, read back from their JSON text."""
+    records = de.scoring_record(fixed_scores(spark, sf))
+    fields = (
+        "customer_message string, predicted_intent string, confidence double, "
+        "top_3_candidates array<struct<intent:string,prob:double>>, "
+        "retrieved_examples array<struct<conversation_id:string,customer_text:string,brand_reply:string,similarity_score:double>>, "
+        "generated_reply string, escalation_decision string, escalation_reason string"
+    )
+    candidates = lambda c: F.concat_ws(":", c["intent"], F.format_string("%.4f", c["prob"]))
+    examples = lambda e: F.concat_ws(
+        "|", e["conversation_id"], e["customer_text"], e["brand_reply"], F.format_string("%.4f", e["similarity_score"])
+    )
+    read = records.withColumn("r", F.from_json("record", fields))
+    return read.select(
+        "doc_id", F.array_join(F.json_object_keys("record"), ",").alias("names"),
+        "r.customer_message", "r.predicted_intent", "r.confidence",
+        F.array_join(F.transform("r.top_3_candidates", candidates), " ").alias("candidates"),
+        F.array_join(F.transform("r.retrieved_examples", examples), "\n").alias("examples"),
+        "r.generated_reply", "r.escalation_decision", "r.escalation_reason",
+    )
+
+
 @query
 def judge_heuristic(spark, sf):
     judged = ju.judge_replies(ad.messages(spark, sf), P, "text")
@@ -847,11 +931,8 @@ def system_comparison(spark, sf):
     return ev.system_comparison(ad.predictions(spark, sf))
 
 
-@query
-def predictions(spark, sf):
-    """Three systems on the golden conversations, neighbour corpus: the evidence pairs."""
-    from threadlens.plans.evaluate import predict_all
-
+def golden_inputs(spark, sf):
+    """Golden conversations with their replies, the neighbour corpus, the messages behind them."""
     big = hot(spark, sf)
     final = materialize(processed(spark, sf, big), "messages")
     table = cv.conversation_table(final, P, big)
@@ -865,11 +946,30 @@ def predictions(spark, sf):
         F.col("conversation_id").alias("doc_id"), F.col("customer_text").alias("text"),
         F.col("primary_intent").alias("label"), F.col("brand_reply").alias("reply"),
     )
+    return labelled, corpus, final
+
+
+@query
+def predictions(spark, sf):
+    """Three systems on the golden conversations, neighbour corpus: the evidence pairs."""
+    from threadlens.plans.evaluate import predict_all
+
+    labelled, corpus, final = golden_inputs(spark, sf)
     training = corpus.select("doc_id", "text", "label")
-    evidence = pairs.withColumnRenamed("conversation_id", "doc_id")
+    evidence = cv.evidence_pairs(final).withColumnRenamed("conversation_id", "doc_id")
     return predict_all(labelled, corpus, scoring.fit_scorer(training, evidence, P), P)
 
 
+@query
+def predictions_fixed(spark, sf):
+    """Three systems on the golden conversations; the full system has given weights."""
+    from threadlens.plans.evaluate import predict_all
+
+    labelled, corpus, final = golden_inputs(spark, sf)
+    found = predict_all(labelled, corpus, fixed_scorer(spark, sf, final), P)
+    return found.withColumns({c: F.round(c, 6) for c in ("b2_confidence", "agent_confidence")})
+
+
 def rated(spark, sf):
     return ev.paired_scores(ad.human_scores(spark, sf), ad.judge_scores(spark, sf))
 

@@ -111,6 +111,75 @@ def train(df: DataFrame, p: P.Params) -> IntentModel:
     )
 
 
+def linear_model(
+    vocab: features.Vocabulary, weights: DataFrame, intercepts: dict[str, float], ngram_max: int
+) -> IntentModel:
+    """A model from given weights (term, label, weight) and one intercept per label.
+
+    Terms that are not in the vocabulary and labels without an intercept are left out;
+    a pair that is not listed weighs nothing.
+    """
+    classes = sorted(intercepts)
+    per_label = [
+        F.coalesce(F.sum(F.when(F.col("label") == c, F.col("weight"))), F.lit(0.0)).cast("double") for c in classes
+    ]
+    coef = weights.groupBy("term").agg(F.array(*per_label).alias("coef"))
+    coefficients = vocab.table.select("term", "idf").join(coef, "term")
+    return IntentModel(
+        vocab, materialize(coefficients, "coefficients"), [float(intercepts[c]) for c in classes], classes, ngram_max
+    )
+
+
+def certificate(df: DataFrame, model: IntentModel, p: P.Params, bound: float) -> DataFrame:
+    """One row that says whether a fitted model is near the optimum of its training rows.
+
+    The gradient of the penalised mean loss is, per class and term, the mean of (probability
+    minus label) times the term's weight in each row, plus the penalty times the coefficient;
+    intercepts have no penalty.  It is one sum over (row, term) pairs, so nothing but this row
+    reaches the driver.  (n_docs, n_terms, n_classes, gradient, optimal): ``optimal`` if the
+    gradient's length is at most ``bound``.
+    """
+    rows = materialize(df.select("doc_id", "text", "label"), "certified")
+    n = rows.count()
+    k = len(model.classes)
+    peak = F.array_max("scores")
+    exp = F.transform("scores", lambda s: F.exp(s - peak))
+    total = F.aggregate(exp, F.lit(0.0), lambda a, x: a + x)
+    labels = F.array(*[F.lit(c) for c in model.classes])
+    off = F.zip_with(
+        F.transform(exp, lambda e: e / total), labels, lambda q, c: q - (c == F.col("label")).cast("double")
+    )
+    scored = class_scores(rows.select("doc_id", "text"), model).join(rows.select("doc_id", "label"), "doc_id")
+    residuals = materialize(scored.select("doc_id", off.alias("off")), "residuals")
+    counts = features.doc_terms(rows, ngram_max=model.ngram_max)
+    sums = [F.sum(F.col("weight") * F.col("off")[i]) / n for i in range(k)]
+    slopes = (
+        features.weights(counts, model.vocab).join(residuals, "doc_id").groupBy("term").agg(F.array(*sums).alias("slope"))
+    )
+    penalty = 1.0 / (p.inverse_regularization * max(1, n))
+    none = F.array_repeat(F.lit(0.0), k)
+    whole = model.coefficients.join(slopes, "term", "left").select(
+        F.zip_with(F.coalesce("slope", none), "coef", lambda g, w: g + F.lit(penalty) * w).alias("g")
+    )
+    square = F.aggregate("g", F.lit(0.0), lambda a, x: a + x * x)
+    free = residuals.agg(*[(F.sum(F.col("off")[i]) / n).alias(f"b{i}") for i in range(k)])
+    intercepts = free.select(F.array(*[F.coalesce(f"b{i}", F.lit(0.0)) for i in range(k)]).alias("g"))
+    length = F.sqrt(F.coalesce(F.sum(square), F.lit(0.0)))
+    n_terms = model.coefficients.agg(F.count("*").alias("n_terms"))
+    return (
+        whole.unionByName(intercepts)
+        .agg(length.alias("gradient"))
+        .crossJoin(F.broadcast(n_terms))
+        .select(
+            F.lit(n).cast("bigint").alias("n_docs"),
+            "n_terms",
+            F.lit(k).cast("bigint").alias("n_classes"),
+            "gradient",
+            (F.col("gradient") <= bound).alias("optimal"),
+        )
+    )
+
+
 def class_scores(messages: DataFrame, model: IntentModel) -> DataFrame:
     """(doc_id, scores array) for (doc_id, text) rows: linear scores per class."""
     counts = features.doc_terms(messages, ngram_max=model.ngram_max)

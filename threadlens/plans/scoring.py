@@ -35,7 +35,11 @@ class Scorer:
 
 def fit_scorer(training: DataFrame, evidence: DataFrame, p: Params) -> Scorer:
     """Train on (doc_id, text, label); index evidence (doc_id, customer_text, brand_reply)."""
-    model = cl.train(training, p)
+    return scorer_of(cl.train(training, p), evidence, p)
+
+
+def scorer_of(model: cl.IntentModel, evidence: DataFrame, p: Params) -> Scorer:
+    """Scoring with a model that is there already, fitted or of given weights."""
     corpus = materialize(
         evidence.select(F.col("doc_id").cast("string").alias("doc_id"), "customer_text", "brand_reply"),
         "evidence",
