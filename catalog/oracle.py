@@ -680,6 +680,36 @@ def build() -> dict[str, str]:
         f"WITH {TERMS} SELECT (SELECT count(*) FROM documents) AS n_docs, "
         f"(SELECT least(count(DISTINCT term), {P.classifier_features}) FROM terms) AS n_terms, "
         "(SELECT count(DISTINCT lang) FROM documents) AS n_classes, true AS optimal")
+    stop_toks = f"""{OPENINGS}, od AS MATERIALIZED (
+  SELECT conversation_id AS doc_id, text, CAST(substr(conversation_id, 6) AS BIGINT) % 4 AS given FROM openings),
+otoks AS (SELECT doc_id, list_filter(regexp_extract_all(lower(text), {q(WORD + '{2,}')}), lambda x: x NOT IN {in_list(PR.STOP_WORDS)}) AS w FROM od),
+oterms AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {mgrams} AS term FROM otoks) GROUP BY ALL),
+{vocabulary('ovocab', 'oterms', 'od', 5000, 'count(*) >= 3 AND count(*) <= 0.8 * (SELECT count(*) FROM od)')},
+{unit('ow', 'oterms', 'ovocab', '(1.0::DOUBLE + ln(t.tf))')},
+groups AS (SELECT given AS cluster, count(*) AS members FROM od GROUP BY 1),
+means AS MATERIALIZED (
+  SELECT cluster, term, sum(weight) / any_value(members) AS c
+  FROM ow JOIN od USING (doc_id) JOIN groups ON cluster = given GROUP BY cluster, term),
+squares AS (SELECT cluster, coalesce(sum(c * c), 0.0::DOUBLE) AS n FROM range(0, 4) t(cluster) LEFT JOIN means USING (cluster) GROUP BY 1),
+dots AS MATERIALIZED (SELECT doc_id, cluster, sum(weight * c) AS dot FROM ow JOIN means USING (term) GROUP BY ALL),
+lengths AS (SELECT od.doc_id, coalesce(sum(weight * weight), 0.0::DOUBLE) AS square FROM od LEFT JOIN ow USING (doc_id) GROUP BY 1),
+oplaced AS MATERIALIZED (
+  SELECT l.doc_id, s.cluster, round(greatest(square - 2 * coalesce(dot, 0.0::DOUBLE) + n, 0.0::DOUBLE), 12) AS distance
+  FROM lengths l CROSS JOIN squares s LEFT JOIN dots d ON d.doc_id = l.doc_id AND d.cluster = s.cluster
+  QUALIFY row_number() OVER (PARTITION BY l.doc_id ORDER BY distance, s.cluster) = 1),
+osizes AS (SELECT cluster, count(*) AS size, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM od), 1) AS frequency_pct
+  FROM oplaced GROUP BY 1 HAVING count(*) >= 5),
+owords AS MATERIALIZED (
+  SELECT cluster, row_number() OVER (PARTITION BY cluster ORDER BY round(c, 9) DESC, term) AS rank, term AS word, round(c, 4) AS weight
+  FROM means WHERE round(c, 9) > 0 AND cluster IN (SELECT cluster FROM osizes) QUALIFY rank <= 10)"""
+    w("theme_clusters_given", stop_toks,
+      "SELECT CAST(s.cluster AS INTEGER) AS cluster, size, frequency_pct, theme_label FROM osizes s LEFT JOIN "
+      "(SELECT cluster, string_agg(word, ' / ' ORDER BY rank) AS theme_label FROM owords WHERE rank <= 3 GROUP BY 1) USING (cluster)")
+    w("theme_terms_given", stop_toks, "SELECT CAST(cluster AS INTEGER) AS cluster, CAST(rank AS INTEGER) AS rank, word, weight FROM owords")
+    w("theme_examples_given", stop_toks,
+      "SELECT CAST(cluster AS INTEGER) AS cluster, CAST(rank AS INTEGER) AS rank, doc_id, substr(text, 1, 200) AS text FROM ("
+      "SELECT p.cluster, row_number() OVER (PARTITION BY p.cluster ORDER BY distance, p.doc_id) AS rank, p.doc_id, text FROM oplaced p JOIN od USING (doc_id) "
+      "WHERE p.cluster IN (SELECT cluster FROM osizes)) WHERE rank <= 5")
     w("classify_fixed", f"""{TERMS}, ms AS (SELECT item_id AS doc_id, text FROM benchmark),
 mtoks AS (SELECT doc_id, regexp_extract_all(lower(text), {q(WORD + '{2,}')}) AS w FROM ms),
 mterms AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {mgrams} AS term FROM mtoks) GROUP BY ALL),

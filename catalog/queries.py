@@ -21,6 +21,7 @@ from threadlens.operators import features as ft
 from threadlens.operators import graph as gr
 from threadlens.operators import judging as ju
 from threadlens.operators import language as lg
+from threadlens.operators import minibatch as mb
 from threadlens.operators import profile as pr
 from threadlens.operators import quality as qu
 from threadlens.operators import retrieval as rt
@@ -633,9 +634,39 @@ def theme_examples(spark, sf):
     return _themes(spark, sf).examples
 
 
+def openings(spark, sf):
+    return cv.opening_messages(processed(spark, sf)).select(F.col("conversation_id").alias("doc_id"), "text")
+
+
 def _themes(spark, sf):
-    openings = cv.opening_messages(processed(spark, sf)).select(F.col("conversation_id").alias("doc_id"), "text")
-    return th.discover_themes(openings, P)
+    return th.discover_themes(openings(spark, sf), P)
+
+
+#: Clusters of the queries with given centres: the last digit of a conversation's number.
+GIVEN_CLUSTER = "CAST(substr(doc_id, 6) AS INT) % 4"
+
+
+def given_themes(spark, sf):
+    """Themes around the mean rows of given groups of conversations."""
+    docs = materialize(openings(spark, sf), "openings")
+    rows, vocab = th.theme_features(docs, P)
+    labels = docs.select("doc_id", F.expr(GIVEN_CLUSTER).alias("cluster"))
+    return th.describe_themes(docs, rows, vocab, mb.label_means(rows, labels, 4), P)
+
+
+@query
+def theme_clusters_given(spark, sf):
+    return given_themes(spark, sf).clusters
+
+
+@query
+def theme_terms_given(spark, sf):
+    return given_themes(spark, sf).terms
+
+
+@query
+def theme_examples_given(spark, sf):
+    return given_themes(spark, sf).examples
 
 
 # -- decisions, replies, judging ---------------------------------------------
