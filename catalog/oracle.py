@@ -629,6 +629,14 @@ def build() -> dict[str, str]:
       " UNION ALL ".join(f"SELECT '{c}' AS category, count(*) FILTER ({c}) AS count, {pct(f'count(*) FILTER ({c})', 'count(*)')} AS pct, "
                          f"(SELECT coalesce(string_agg(conversation_id, ',' ORDER BY conversation_id), '') FROM (SELECT conversation_id FROM sig WHERE {c} ORDER BY 1 LIMIT 5)) "
                          f"AS sample_conversations FROM sig" for c in cats))
+    o["keyword_signals_table"] = o["keyword_signals"]
+    listed = ", ".join(f"({q(c)}, {q(k)})" for c, ks in PR.SIGNAL_KEYWORDS.items() for k in ks)
+    w("conversation_keywords", f"""{PROCESSED}, kws AS (SELECT DISTINCT * FROM (VALUES {listed}) t(category, keyword)),
+joined_texts AS (SELECT conversation_id, string_agg(lower(text), ' ' ORDER BY seq) AS joined FROM processed WHERE role = 'customer' GROUP BY 1)""",
+      "SELECT conversation_id, category, keyword FROM joined_texts JOIN kws ON contains(joined, keyword)")
+    o["document_part_names"] = (
+        "SELECT keyword, count(*) AS documents, min(doc_id) AS first_id FROM documents JOIN "
+        "(SELECT DISTINCT lower(unnest(string_split(p_name, ' '))) AS keyword FROM part) ON contains(lower(text), keyword) GROUP BY 1")
     for f in ("repeated_followups", "unresolved"):
         w(f, SIGNALS, f"SELECT count(*) FILTER ({f}) AS count, {pct(f'count(*) FILTER ({f})', 'count(*)')} AS pct FROM sig")
     anyhit = " OR ".join(["repeated_followups", "unresolved", *cats])

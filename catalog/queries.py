@@ -20,6 +20,7 @@ from threadlens.operators import evaluation as ev
 from threadlens.operators import features as ft
 from threadlens.operators import graph as gr
 from threadlens.operators import judging as ju
+from threadlens.operators import keywords as kw
 from threadlens.operators import language as lg
 from threadlens.operators import minibatch as mb
 from threadlens.operators import profile as pr
@@ -450,6 +451,33 @@ def keyword_signals(spark, sf):
     return sg.keyword_signals(signals(spark, sf), P)
 
 
+def keyword_rows(spark):
+    return kw.keyword_table(spark, P.signal_keywords)
+
+
+@query
+def keyword_signals_table(spark, sf):
+    """The same report, the keywords being rows of a table."""
+    flags = lambda m, p, big: kw.keyword_flags(m, keyword_rows(spark), list(p.signal_keywords), big)
+    return sg.keyword_signals(materialize(ordered(spark, sf, flags), "flags"), P)
+
+
+@query
+def conversation_keywords(spark, sf):
+    """Every keyword that a conversation's customer used."""
+    find = lambda m, p, big: kw.conversation_keywords(m, keyword_rows(spark), big)
+    return ordered(spark, sf, find)
+
+
+@query
+def document_part_names(spark, sf):
+    """Documents that contain a word of a part's name: the keywords are the part table."""
+    words = F.explode(F.split("p_name", " ")).alias("keyword")
+    names = ad.read(spark, sf, "part").select(F.lit("part").alias("category"), words).distinct()
+    hits = kw.keyword_hits(documents(spark, sf), names, "doc_id")
+    return hits.groupBy("keyword").agg(F.count("*").alias("documents"), F.min("doc_id").alias("first_id"))
+
+
 @query
 def repeated_followups(spark, sf):
     return sg.repeated_followups(signals(spark, sf))
