@@ -770,6 +770,7 @@ FROM top JOIN qs2 USING (query_id) JOIN gold ON gold.conversation_id = top.doc_i
       f"SELECT doc_id AS message_id, intent, round(conf, 2) AS conf, escalation_decision AS esc, "
       f"replace(CASE WHEN length({st}) > 40 THEN substr({st}, 1, 40) || '...' ELSE {st} END, '\"', '''') AS msg FROM decisions")
     template = "CASE intent " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in PR.REPLY_TEMPLATES.items()) + f" ELSE {q(PR.REPLY_TEMPLATES['general_inquiry'])} END"
+    o["audit_log"] = f"SELECT *, 'run-' || (length(message_id) % 2) AS batch, true AS logged FROM ({o['audit_rows']})"
     w("select_reply", EVIDENCE,
       f"SELECT conversation_id, CASE WHEN k % 5 <> 0 AND s1 >= 0.75 AND brand_reply <> '' THEN brand_reply ELSE {template} END AS reply FROM ev")
 
@@ -858,6 +859,10 @@ FROM (SELECT doc_id, ok, {', '.join(f'{field(d)} AS {d}' for d in ad.DIMENSIONS)
       "SELECT conversation_id, primary_intent, escalation, escalation_reason, confidence, annotator_notes, annotated_at FROM golden ORDER BY 1")
     w("annotation_queue", f"{ad.MESSAGES_SQL}, {ANNOTATED}",
       "SELECT conversation_id, count(*) AS messages FROM messages WHERE conversation_id NOT IN (SELECT conversation_id FROM annotations WHERE conversation_id IS NOT NULL) GROUP BY 1")
+    kept = "conversation_id, primary_intent, escalation, escalation_reason, confidence, annotator_notes, annotated_at".split(", ")
+    as_text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '') AS {c}" for c in kept)
+    w("annotation_log", ANNOTATED, f"SELECT {as_text}, 0::BIGINT AS first_row, (SELECT count(*) FROM annotations) AS after_last FROM annotations")
+    w("golden_file", GOLDEN, f"SELECT {as_text}, row_number() OVER (ORDER BY conversation_id) - 1 AS row_id FROM golden")
     w("golden_with_text", f"{CONVERSATIONS}, {GOLDEN}",
       "SELECT conversation_id, primary_intent, opening_message AS text FROM golden JOIN conv USING (conversation_id)")
 
@@ -901,6 +906,8 @@ ex AS (SELECT dimension, sum(CASE WHEN h <> j THEN mh.n * mj.n ELSE 0 END)::DOUB
     w("score_histogram", RATED,
       " UNION ALL ".join(f"SELECT '{n}' AS rater, b AS bin, 1 + b * 0.5::DOUBLE AS low, {hist.format(c=col)} AS count FROM range(0, 8) t(b)"
                          for n, col in (("human", "human_overall"), ("judge", "overall_score"))))
+    o["comparison_file"] = o["system_comparison"]
+    o["overview_file"] = f"SELECT * FROM ({o['overview_counts']}) a CROSS JOIN (SELECT * FROM ({o['turn_structure']})) b"
     pe, te = ESC_TRUE.format("agent_escalation"), t
     w("failure_cases", f"""{pred},
 e AS (SELECT 0 AS kind, * FROM predictions WHERE {te} <> {pe} ORDER BY conversation_id LIMIT 2),

@@ -31,7 +31,7 @@ from threadlens.operators import themes as th
 from threadlens.operators.ordering import find_hot_groups
 from threadlens.plans.preprocess import clean_and_filter, preprocess
 from threadlens.plans import explore as explore_plan
-from threadlens.plans import scoring
+from threadlens.plans import results, scoring
 from threadlens.sources import readers, writers
 from threadlens.sources.tables import checkpoint_folder, materialize
 
@@ -88,6 +88,62 @@ def scan_messages(spark, sf):
     )
 
 
+def new_folder(spark, name: str) -> str:
+    return f"{checkpoint_folder(spark).rstrip('/')}/threadlens/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def annotation_log(spark, sf):
+    """Annotations appended in three batches, one of them twice, read back in order."""
+    path, rows = new_folder(spark, "progress"), ad.annotations(spark, sf)
+    for batch in (0, 1, 2, 1):
+        writers.append_annotations(rows.filter(F.col("row_id") % 3 == batch), path, f"batch-{batch}")
+    back = readers.scan_annotations(spark, path)
+    texts = {c: F.coalesce(F.col(c), F.lit("")) for c in back.columns if c != "row_id"}
+    counted = back.withColumns(texts).agg(F.min("row_id").alias("first_row"), (F.max("row_id") + 1).alias("after_last"))
+    return back.select(*[e.alias(c) for c, e in texts.items()]).crossJoin(F.broadcast(counted))
+
+
+@query
+def audit_log(spark, sf):
+    """Audit rows of two runs, the first of which is written again after a failure."""
+    path, rows = new_folder(spark, "audit"), de.audit_rows(de.decide(decision_inputs(spark, sf), P))
+    half = lambda h: rows.filter(F.length("message_id") % 2 == h)
+    for run, part in (("run-0", half(0).limit(3)), ("run-1", half(1)), ("run-0", half(0))):
+        writers.append_audit(part, path, run)
+    back = readers.scan_log(spark, path, [*rows.columns, "logged_at"])
+    return back.withColumn("logged", F.col("logged_at").isNotNull()).drop("logged_at")
+
+
+@query
+def golden_file(spark, sf):
+    """The golden labels as the file has them."""
+    folder = new_folder(spark, "golden")
+    results.export_golden(ad.annotations(spark, sf), folder)
+    back = readers.scan_annotations(spark, f"{folder}/golden")
+    return back.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in back.columns if c != "row_id"], "row_id")
+
+
+@query
+def overview_file(spark, sf):
+    """Two tables of the overview as the files have them."""
+    folder, messages = new_folder(spark, "overview"), materialize(processed(spark, sf), "messages")
+    results.export_overview(messages, P, folder)
+    tables = [cv.overview_counts(messages), cv.turn_structure(messages)]
+    names = ["overview_counts", "turn_structure"]
+    first, second = (readers.scan_json(spark, f"{folder}/{n}", t.schema) for n, t in zip(names, tables))
+    return first.crossJoin(second.select(*[c for c in second.columns if c not in first.columns]))
+
+
+@query
+def comparison_file(spark, sf):
+    """The comparison of the systems as the evaluation's file has it."""
+    folder = new_folder(spark, "evaluation")
+    found = ad.predictions(spark, sf).withColumn("agent_reply", F.col("customer_text"))
+    results.export_evaluation(found, None, P, folder)
+    return readers.scan_json(spark, f"{folder}/evaluation/comparison", ev.system_comparison(found).schema)
+
+
 INBOUND = f"CASE {ad.N} % 4 WHEN 0 THEN 'True' WHEN 1 THEN 'False' WHEN 2 THEN 'maybe' END"
 
 

@@ -57,10 +57,11 @@ def test_annotation_progress(spark, tmp_path):
     path = str(tmp_path / "progress")
     assert readers.scan_annotations(spark, path).count() == 0
     row = spark.createDataFrame([("c1", "order_status", "True", "none", "high", 'a "note", ok', "2024")], "conversation_id string, primary_intent string, escalation string, escalation_reason string, confidence string, annotator_notes string, annotated_at string")
-    for _ in range(2):
-        writers.append_annotations(row, path)
+    for batch in ("first", "second", "second"):
+        writers.append_annotations(row, path, batch)
     back = readers.scan_annotations(spark, path)
     assert back.count() == 2 and back.first()["annotator_notes"] == 'a "note", ok'
+    assert back.columns == [*row.columns, "row_id"]
 
 
 def test_fallbacks(spark):

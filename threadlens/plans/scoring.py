@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.ml import Transformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from threadlens.functions import text as tx
 from threadlens.operators import classify as cl
 from threadlens.operators import retrieval as rt
 from threadlens.operators.decisions import decide, select_reply
+from threadlens.operators.stages import ADDED
 from threadlens.params import Params
 from threadlens.sources.tables import materialize
 
@@ -38,8 +40,16 @@ def fit_scorer(training: DataFrame, evidence: DataFrame, p: Params) -> Scorer:
     return scorer_of(cl.train(training, p), evidence, p)
 
 
-def scorer_of(model: cl.IntentModel, evidence: DataFrame, p: Params) -> Scorer:
-    """Scoring with a model that is there already, fitted or of given weights."""
+def scorer_of(model: cl.IntentModel | Transformer, evidence: DataFrame, p: Params) -> Scorer:
+    """Scoring with a model that is there already, fitted or of given weights.
+
+    Any ML transformer will do that adds predicted_intent, confidence and candidates to
+    rows (doc_id, text), so a saved pipeline can be put in.
+    """
+    if isinstance(model, Transformer):
+        classify = lambda rows: model.transform(rows).select("doc_id", *ADDED)
+    else:
+        classify = lambda rows: cl.classify(rows, model)
     corpus = materialize(
         evidence.select(F.col("doc_id").cast("string").alias("doc_id"), "customer_text", "brand_reply"),
         "evidence",
@@ -54,7 +64,7 @@ def scorer_of(model: cl.IntentModel, evidence: DataFrame, p: Params) -> Scorer:
         return rt.evidence_list(rt.search(queries, index, p.top_k), corpus)
 
     return Scorer(
-        classify=lambda messages: cl.classify(messages, model),
+        classify=classify,
         retrieve=retrieve,
         decide=lambda df: decide(df, p),
         reply=lambda df: df.withColumn(

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadlens.operators.annotations import golden_with_text
+from threadlens.operators.ordering import numbered
 from threadlens.sources import seeds
 from threadlens.sources.schemas import (
     ANNOTATION_SCHEMA,
@@ -15,6 +17,7 @@ from threadlens.sources.schemas import (
     RAW_COLUMNS,
     require_columns,
 )
+from threadlens.sources.writers import BATCH
 
 CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "encoding": "UTF-8"}
 
@@ -103,15 +106,37 @@ def scan_message_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_annotations(spark: SparkSession, path: str) -> DataFrame:
-    """Annotation progress with a row number column; empty when there is no file."""
+    """Annotation progress with a row number column; empty when there is no file.
+
+    ``row_id`` counts rows from 0 in the order in which files were written, then by file,
+    by block of a file and by place in it.  How Spark packs files and cuts them into
+    tasks makes no difference.
+    """
     try:
         df = spark.read.options(**CSV_OPTIONS).csv(path)
-        df = df.select([F.col(c).cast("string") for c in df.columns])
+        names = [c for c in df.columns if c != BATCH]
+        place = {
+            "_written": F.col("_metadata.file_modification_time"),
+            "_file": F.col("_metadata.file_path"),
+            "_block": F.col("_metadata.file_block_start"),
+            "_row": F.monotonically_increasing_id(),
+        }
+        df = df.withColumns(place).select(*[F.col(c).cast("string") for c in names], *place)
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error.getCondition()):
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        df = spark.createDataFrame([], ANNOTATION_SCHEMA)
-    return df.withColumn("row_id", F.monotonically_increasing_id())
+        return spark.createDataFrame([], ANNOTATION_SCHEMA).withColumn("row_id", F.lit(0).cast("bigint"))
+    return numbered(df, list(place), "row_id").drop(*place)
+
+
+def scan_log(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Rows of an append table in Parquet with their ``batch``."""
+    return require_columns(spark.read.parquet(path), columns).select(*columns, F.col(BATCH).cast("string").alias(BATCH))
+
+
+def scan_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Metrics and summaries that ``write_json`` wrote, in a given layout."""
+    return spark.read.schema(schema).json(path)
 
 
 def with_fallback(*candidates: DataFrame | None) -> DataFrame:
