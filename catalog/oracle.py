@@ -585,6 +585,7 @@ def build() -> dict[str, str]:
     w("brand_responsiveness", PROCESSED,
       f"SELECT count(*) FILTER (b = 0) AS conversations_without_brand_reply, {pct('count(*) FILTER (b > 0)', 'count(*)')} AS brand_reply_rate FROM sizes")
     w("role_switches", SWITCHES, "SELECT * FROM switches")
+    o["bucketed_role_switches"] = o["role_switches"]
     w("response_depth", SWITCHES,
       "SELECT round(avg(role_switches), 2) AS mean_switches, round(quantile_cont(role_switches, 0.5), 2) AS median_switches, "
       "max(role_switches) AS max_switches, round(avg(depth), 2) AS mean_depth FROM switches")
@@ -852,7 +853,9 @@ FROM (SELECT doc_id, ok, {', '.join(f'{field(d)} AS {d}' for d in ad.DIMENSIONS)
       "SELECT record_errors = 0 AND duplicate_ids = 0 AS is_valid, total_records, valid_records, invalid_records, record_errors, duplicate_ids, "
       "concat_ws('; ', CASE WHEN e > 0 THEN e || ' records have empty conversation_id' END, "
       "CASE WHEN l > 0 THEN l || ' records have low confidence — consider review' END, "
-      "CASE WHEN valid_records < 150 THEN 'Only ' || valid_records || ' valid records. Target is 150-250 for the golden dataset.' END) AS warnings FROM t")
+      "CASE WHEN valid_records < 150 THEN 'Only ' || valid_records || ' valid records. Target is 150-250 for the golden dataset.' END) AS warnings, "
+      "NULL::VARCHAR AS error, (SELECT coalesce(string_agg(x, ', ' ORDER BY x), '') FROM (SELECT primary_intent || '=' || count(*) AS x "
+      "FROM annotations WHERE primary_intent IS NOT NULL GROUP BY primary_intent)) AS intents FROM t")
     w("intent_distribution", ANNOTATED,
       f"SELECT primary_intent, count(*) AS count, {pct('count(*)', '(SELECT count(*) FROM annotations)')} AS pct FROM annotations WHERE primary_intent IS NOT NULL GROUP BY 1")
     w("golden_export", GOLDEN,

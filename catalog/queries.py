@@ -32,7 +32,7 @@ from threadlens.operators.ordering import find_hot_groups
 from threadlens.plans.preprocess import clean_and_filter, preprocess
 from threadlens.plans import explore as explore_plan
 from threadlens.plans import results, scoring
-from threadlens.sources import readers, writers
+from threadlens.sources import bucketed, readers, writers
 from threadlens.sources.tables import checkpoint_folder, materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -411,6 +411,14 @@ def role_switches(spark, sf):
     return ordered(spark, sf, cv.role_switches)
 
 
+@query
+def bucketed_role_switches(spark, sf):
+    """Role switches read from a table bucketed by conversation, without a shuffle."""
+    name, big = f"processed_{uuid.uuid4().hex}", hot(spark, sf)
+    table = bucketed.write_processed_buckets(processed(spark, sf, big), name, 8, big)
+    return cv.role_switches(table, P, big)
+
+
 @query
 def response_depth(spark, sf):
     return cv.response_depth(ordered(spark, sf, cv.role_switches))

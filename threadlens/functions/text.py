@@ -180,6 +180,14 @@ def percentage(part: Column, total: Column, digits: int = 1) -> Column:
     )
 
 
-def grouped_number(n: Column, digits: int = 0) -> Column:
-    """Thousands separators, and ``digits`` decimals (two for fractional numbers)."""
-    return F.format_number(n, digits)
+def grouped_number(n: Column) -> Column:
+    """Thousands separators; fractional numbers have two decimals."""
+    kind = F.typeof(n)
+    fractional = kind.isin("double", "float") | F.startswith(kind, F.lit("decimal"))
+    return F.call_function("format_number", n, F.when(fractional, F.lit(2)).otherwise(F.lit(0)))
+
+
+def utc_iso(at: Column) -> Column:
+    """A timestamp as ISO 8601 text in UTC, to the microsecond."""
+    utc = F.to_utc_timestamp(at, F.current_timezone())
+    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))

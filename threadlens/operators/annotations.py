@@ -77,7 +77,7 @@ def duplicate_annotations(records: DataFrame) -> DataFrame:
 
 
 def annotation_validation(records: DataFrame, p: P.Params) -> DataFrame:
-    """One row: totals, validity and warning texts of the whole table.
+    """One row: totals, validity, warning texts and label counts of the whole table.
 
     A duplicated id makes the table invalid, not its rows.
     """
@@ -113,7 +113,10 @@ def annotation_validation(records: DataFrame, p: P.Params) -> DataFrame:
             ),
         ),
     ]
-    return beside(totals, duplicates).select(
+    # labels are a closed set, others are errors; the listing is one entry per label
+    listed = F.sort_array(F.collect_list(F.concat_ws("=", "primary_intent", F.col("count").cast("string"))))
+    intents = label_distribution(records).agg(F.array_join(listed, ", ").alias("intents"))
+    return beside(beside(totals, duplicates), intents).select(
         ((F.col("record_errors") == 0) & (F.col("duplicate_ids") == 0)).alias("is_valid"),
         "total_records",
         "valid_records",
@@ -121,9 +124,20 @@ def annotation_validation(records: DataFrame, p: P.Params) -> DataFrame:
         "record_errors",
         "duplicate_ids",
         F.concat_ws("; ", *warnings).alias("warnings"),
+        F.lit(None).cast("string").alias("error"),
+        "intents",
     )
 
 
+def not_found(spark, path: str) -> DataFrame:
+    """The validation result of a table that is not there."""
+    columns = (
+        "is_valid boolean, total_records bigint, valid_records bigint, invalid_records bigint, record_errors bigint, "
+        "duplicate_ids bigint, warnings string, error string, intents string"
+    )
+    return spark.createDataFrame([(False, 0, 0, 0, 0, 0, "", f"File not found: {path}", "")], columns)
+
+
 def label_distribution(records: DataFrame, label: str = "primary_intent") -> DataFrame:
     """(label, count, pct) of the non-null labels; pct is of all records."""
     total = records.agg(F.count("*").alias("n"))

@@ -81,11 +81,19 @@ def top_emojis(messages: DataFrame, n: int) -> DataFrame:
 def emoji_usage(messages: DataFrame) -> DataFrame:
     """One row: messages with an emoji, their share, distinct emoji."""
     found = customer_texts(messages).select(tx.emoji_chars(F.col("text")).alias("emoji"))
-    usage = found.agg(
-        F.count_if(F.size("emoji") > 0).alias("messages_with_emoji"), F.count("*").alias("_total")
-    ).withColumn("emoji_pct", tx.percentage(F.col("messages_with_emoji"), F.col("_total")))
-    distinct = emoji_counts(messages).agg(F.count("*").alias("total_unique_emojis"))
-    return beside(usage.drop("_total"), distinct)
+    # a message counts at its first emoji, or at the null that stands for none
+    listed = found.select(F.posexplode_outer("emoji").alias("pos", "char"))
+    per_char = listed.groupBy("char").agg(F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias("messages"))
+    some = F.col("char").isNotNull()
+    return per_char.agg(
+        F.coalesce(F.sum(F.when(some, F.col("messages"))), F.lit(0)).alias("messages_with_emoji"),
+        F.coalesce(F.sum("messages"), F.lit(0)).alias("_total"),
+        F.count_if(some).alias("total_unique_emojis"),
+    ).select(
+        "messages_with_emoji",
+        tx.percentage(F.col("messages_with_emoji"), F.col("_total")).alias("emoji_pct"),
+        "total_unique_emojis",
+    )
 
 
 def keyword_themes(texts: DataFrame) -> DataFrame:

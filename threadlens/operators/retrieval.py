@@ -192,15 +192,23 @@ def nearest_baseline(
     # a query without known terms is as near to every row: the first one answers
     keyed = lowered.withColumn("text", F.when(F.col("text") == "", F.lit("-")).otherwise(F.col("text")))
     best = text_topk(keyed, corpus, 1, p.classifier_features)
-    answers = best.join(corpus.select("doc_id", "label", "reply"), "doc_id")
+    answers = best.join(corpus.select("doc_id", "label", "reply"), "doc_id").drop("doc_id", "rank")
+    # a corpus without rows answers nothing: the constant baseline takes its place
+    constant = constant_baseline(lowered, p)
     escalate = tx.contains_any(F.col("text"), P.NEAREST_BASELINE_WORDS)
-    return lowered.join(answers, "query_id").select(
-        "query_id",
-        F.col("label").alias("predicted_intent"),
-        F.greatest(F.col("score"), F.lit(p.baseline_confidence_floor)).alias("confidence"),
-        F.when(escalate, "ESCALATE").otherwise("AUTO_HANDLE").alias("escalation_decision"),
-        F.substring("reply", 1, p.max_reply_length).alias("generated_reply"),
-    )
+    decision = F.when(escalate, "ESCALATE").otherwise("AUTO_HANDLE")
+    known = F.col("score").isNotNull()
+    own = {
+        "predicted_intent": F.col("label"),
+        "confidence": F.greatest(F.col("score"), F.lit(p.baseline_confidence_floor)),
+        "escalation_decision": decision,
+        "generated_reply": F.substring("reply", 1, p.max_reply_length),
+    }
+    fallback = {c: F.col(f"constant_{c}") for c in own}
+    met = lowered.join(answers, "query_id", "left").join(
+        constant.select("query_id", *[F.col(c).alias(f"constant_{c}") for c in own]), "query_id"
+    )
+    return met.select("query_id", *[F.when(known, v).otherwise(fallback[c]).alias(c) for c, v in own.items()])
 
 
 def constant_baseline(queries: DataFrame, p: P.Params, intent: str = "order_status") -> DataFrame:

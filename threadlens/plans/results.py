@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from threadlens.operators import annotations as an
 from threadlens.params import Params
 from threadlens.plans.evaluate import evaluate, judge
 from threadlens.plans.explore import explore
-from threadlens.sources import writers
+from threadlens.sources import readers, writers
 from threadlens.sources.tables import materialize
 
 #: Tables of the overview file, one JSON object each.
@@ -23,6 +23,14 @@ OVERVIEW = [
 ]
 
 
+def validate_file(spark: SparkSession, path: str, p: Params) -> DataFrame:
+    """Validation of the annotation table at ``path``, or the one row that says it is not there."""
+    records = readers.scan_annotations(spark, path)
+    if records.isEmpty() and not readers.exists(spark, path):
+        return an.not_found(spark, path)
+    return an.annotation_validation(records, p)
+
+
 def export_golden(records: DataFrame, folder: str, fmt: str = "csv") -> None:
     """The valid latest annotation of every conversation, sorted by id."""
     writers.write_golden(an.golden_records(records), f"{folder.rstrip('/')}/golden", fmt)

@@ -129,6 +129,17 @@ def scan_annotations(spark: SparkSession, path: str) -> DataFrame:
     return numbered(df, list(place), "row_id").drop(*place)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder that Spark can list."""
+    try:
+        spark.read.text(path).schema  # noqa: B018
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def scan_log(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Rows of an append table in Parquet with their ``batch``."""
     return require_columns(spark.read.parquet(path), columns).select(*columns, F.col(BATCH).cast("string").alias(BATCH))
