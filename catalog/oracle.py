@@ -472,6 +472,14 @@ def build() -> dict[str, str]:
     w("annotated_ids", ANNOTATED, "SELECT DISTINCT conversation_id FROM annotations WHERE conversation_id IS NOT NULL")
     w("training_table", f"{CONVERSATIONS}, {GOLDEN}",
       "SELECT conversation_id, opening_message AS text, primary_intent, 'conversations' AS source FROM golden JOIN conv USING (conversation_id)")
+    w("evaluation_table", f"{CONVERSATIONS}, {GOLDEN}",
+      "SELECT conversation_id, opening_message AS customer_text, primary_intent, escalation, 'conversations' AS source FROM golden JOIN conv USING (conversation_id)")
+    brand_lines = (f"list_filter(list_transform(string_split(full_conversation, chr(10)), lambda x: {strip('x')}), "
+                   f"lambda x: starts_with(x, '[BRAND]') OR contains(x, '{BRAND}'))[1]")
+    w("evidence_table", f"{CONVERSATIONS}, {PAIRS[len(PROCESSED) + 1:]}, lined AS (SELECT conversation_id, opening_message, {brand_lines} AS hit FROM conv)",
+      f"SELECT conversation_id, opening_message AS customer_text, CASE WHEN hit IS NULL THEN {q(PR.REPLY_WHEN_NO_BRAND_LINE)} "
+      f"WHEN starts_with(hit, '[BRAND]') THEN {strip(f'replace(hit, {q('[BRAND]')}, {q('')})')} ELSE hit END AS brand_reply, 'index' AS source FROM lined "
+      "UNION ALL SELECT conversation_id, customer_text, brand_reply, 'messages' FROM pairs")
     raw_cols = ["tweet_id", "author_id", "inbound", "created_at", "text", "response_tweet_id", "in_response_to_tweet_id"]
     w("profile_raw", ad.TWEETS_SQL,
       "SELECT count(*) AS total_rows, 7::BIGINT AS total_columns, count(*) FILTER (inbound) AS inbound_rows, "

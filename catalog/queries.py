@@ -181,6 +181,22 @@ def training_table(spark, sf):
     )
 
 
+@query
+def evaluation_table(spark, sf):
+    """Golden labels with the texts of their conversations."""
+    golden = an.golden_records(ad.annotations(spark, sf))
+    return readers.evaluation_table(spark, golden, ordered(spark, sf, cv.conversation_table))
+
+
+@query
+def evidence_table(spark, sf):
+    """Openings and first brand replies, from transcripts and from messages."""
+    big = hot(spark, sf)
+    final = materialize(processed(spark, sf, big), "messages")
+    index = readers.evidence_table(spark, cv.conversation_table(final, P, big), final, P)
+    return index.unionByName(readers.evidence_table(spark, None, final, P))
+
+
 @query
 def profile_raw(spark, sf):
     return pr.profile_raw(ad.tweets(spark, sf))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import Transformer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.functions import text as tx
@@ -15,6 +15,7 @@ from threadlens.operators import retrieval as rt
 from threadlens.operators.decisions import decide, select_reply
 from threadlens.operators.stages import ADDED
 from threadlens.params import Params
+from threadlens.sources import readers
 from threadlens.sources.tables import materialize
 
 Step = Callable[[DataFrame], DataFrame]
@@ -40,6 +41,15 @@ def fit_scorer(training: DataFrame, evidence: DataFrame, p: Params) -> Scorer:
     return scorer_of(cl.train(training, p), evidence, p)
 
 
+def scorer_from_sources(
+    spark: SparkSession, golden: DataFrame | None, conversations: DataFrame | None, messages: DataFrame | None, p: Params
+) -> Scorer:
+    """Train and index on what there is; built-in rows stand in for what is missing."""
+    training = readers.training_table(spark, golden, conversations, p.min_training_records)
+    evidence = readers.evidence_table(spark, None, messages, p).withColumnRenamed("conversation_id", "doc_id")
+    return fit_scorer(cl.training_columns(training), evidence, p)
+
+
 def scorer_of(model: cl.IntentModel | Transformer, evidence: DataFrame, p: Params) -> Scorer:
     """Scoring with a model that is there already, fitted or of given weights.
 

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.operators.annotations import golden_with_text
+from threadlens.operators.conversations import evidence_pairs, first_brand_replies
 from threadlens.operators.ordering import numbered
+from threadlens.params import Params
 from threadlens.sources import seeds
 from threadlens.sources.schemas import (
     ANNOTATION_SCHEMA,
@@ -180,3 +182,49 @@ def training_table(
             own = golden.withColumn("text", F.col("customer_text"))
             return own.select(*columns, F.lit("golden").alias("source"))
     return seeds.training_rows(spark).withColumn("source", F.lit("starter"))
+
+
+def evaluation_table(
+    spark: SparkSession, golden: DataFrame | None, conversations: DataFrame | None
+) -> DataFrame:
+    """(conversation_id, customer_text, primary_intent, escalation, source) to evaluate on.
+
+    Golden labels with the opening messages of their conversations; else, where no
+    conversation meets a label, with their own ``customer_text``; else the built-in rows.
+    ``source`` says which: ``conversations``, ``golden`` or ``starter``.
+    """
+    columns = ["conversation_id", "customer_text", "primary_intent", "escalation"]
+    if golden is not None and "primary_intent" in golden.columns and not golden.isEmpty():
+        if conversations is not None and "opening_message" in conversations.columns:
+            joined = golden_with_text(golden, conversations).withColumn("customer_text", F.col("text"))
+            if not joined.isEmpty():
+                return joined.select(*columns, F.lit("conversations").alias("source"))
+        if "customer_text" in golden.columns:
+            return golden.select(*columns, F.lit("golden").alias("source"))
+    return seeds.evaluation_rows(spark).select(*columns).withColumn("source", F.lit("starter"))
+
+
+def evidence_table(
+    spark: SparkSession, index: DataFrame | None, messages: DataFrame | None, p: Params
+) -> DataFrame:
+    """(conversation_id, customer_text, brand_reply, source) to retrieve answers from.
+
+    ``index`` may have the texts as columns, or be a conversation table, whose transcripts
+    give the replies.  Else the first messages of both roles in processed ``messages``,
+    else the built-in rows; ``source`` is ``index``, ``messages`` or ``starter``.
+    """
+    columns = ["conversation_id", "customer_text", "brand_reply"]
+    if index is not None and "conversation_id" in index.columns and not index.isEmpty():
+        if {"customer_text", "brand_reply"} <= set(index.columns):
+            return index.select(*columns).withColumn("source", F.lit("index"))
+        if {"opening_message", "full_conversation"} <= set(index.columns):
+            parts = index if "part" in index.columns else index.withColumn("part", F.lit(0))
+            openings = parts.filter("part = 0")
+            replies = first_brand_replies(parts, p).withColumnRenamed("reply", "brand_reply")
+            named = openings.select("conversation_id", F.col("opening_message").alias("customer_text"))
+            return named.join(replies, "conversation_id").select(*columns, F.lit("index").alias("source"))
+    if messages is not None:
+        pairs = evidence_pairs(messages)
+        if not pairs.isEmpty():
+            return pairs.select(*columns).withColumn("source", F.lit("messages"))
+    return seeds.evidence_rows(spark).select(*columns).withColumn("source", F.lit("starter"))
