@@ -625,7 +625,7 @@ def build() -> dict[str, str]:
       f"SELECT count(*) FILTER (len({em}) > 0) AS messages_with_emoji, {pct(f'count(*) FILTER (len({em}) > 0)', 'count(*)')} AS emoji_pct, "
       f"(SELECT count(DISTINCT e) FROM (SELECT unnest({em}) AS e FROM cust)) AS total_unique_emojis FROM cust")
     w("top_emojis", CUSTOMER, top(em, "emoji", 10))
-    themes = " UNION ALL ".join(f"SELECT {q(t)} AS theme_label, unnest([{', '.join(q(x) for x in ws)}]) AS word" for t, ws in PR.KEYWORD_THEMES.items())
+    themes = " UNION ALL ".join(f"SELECT {q(' '.join(x.capitalize() for x in t.split('_')))} AS theme_label, unnest([{', '.join(q(x) for x in ws)}]) AS word" for t, ws in PR.KEYWORD_THEMES.items())
     w("keyword_themes", f"{OPENINGS}, lex AS ({themes}), wc AS (SELECT word, count(*) AS n FROM (SELECT unnest({words('text')}) AS word "
       f"FROM openings WHERE length({strip('text')}) > 10) GROUP BY 1)",
       "SELECT theme_label, coalesce(sum(n), 0)::BIGINT AS total_mentions FROM lex LEFT JOIN wc USING (word) GROUP BY 1")

@@ -155,6 +155,11 @@ def normalize_reason(value: Column) -> Column:
     )
 
 
+def title_of(key: str) -> str:
+    """A key as it is shown: words with capitals instead of underscores."""
+    return key.replace("_", " ").title()
+
+
 def is_escalation(value: Column) -> Column:
     """Truth value of an escalation label given as boolean or text."""
     key = F.upper(ustrip(value.cast("string")))

@@ -9,10 +9,6 @@ from threadlens import params as P
 from threadlens.functions import text as tx
 
 
-def _title(name: str) -> str:
-    return name.replace("_", " ").title()
-
-
 def escalation_rules(message: Column, intent: Column, confidence: Column, p: P.Params) -> Column:
     """Struct (decision, confidence, reason) of the first rule that applies.
 
@@ -48,7 +44,7 @@ def escalation_rules(message: Column, intent: Column, confidence: Column, p: P.P
     )
     for category, keywords in p.trigger_keywords.items():
         for keyword in keywords:
-            reason = f"Detected {_title(category)} escalation keyword: '{keyword}'"
+            reason = f"Detected {tx.title_of(category)} escalation keyword: '{keyword}'"
             rules = rules.when(
                 F.contains(low, F.lit(keyword.lower())),
                 outcome("ESCALATE", F.lit(0.95), F.lit(reason)),

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from threadlens import params as P
 from threadlens.functions import text as tx
-from threadlens.operators.common import beside
 
 
 def customer_texts(messages: DataFrame) -> DataFrame:
@@ -98,7 +97,7 @@ def emoji_usage(messages: DataFrame) -> DataFrame:
 
 def keyword_themes(texts: DataFrame) -> DataFrame:
     """Fixed word groups and how often their words occur; groups may be empty."""
-    rows = [(theme, word) for theme, words in P.KEYWORD_THEMES.items() for word in words]
+    rows = [(tx.title_of(theme), word) for theme, words in P.KEYWORD_THEMES.items() for word in words]
     spark = texts.sparkSession
     lexicon = spark.createDataFrame(rows, "theme_label string, word string")
     hits = word_counts(texts).join(F.broadcast(lexicon), "word").groupBy("theme_label").agg(
