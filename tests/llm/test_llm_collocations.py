@@ -74,8 +74,9 @@ def frame(spark, rows):
     return spark.createDataFrame(full, DOCS).selectExpr("*", "'x' AS word", "1 AS n", "2 AS w0", "3 AS shard")
 
 
-@pytest.mark.parametrize("shard_words", [1, 50, 1 << 21])
-def test_equals_counting_every_phrase(spark, shard_words):
+@pytest.mark.parametrize("shard_words, gathered", [(1, 1 << 20), (50, 40), (50, 1 << 20), (1 << 21, 0)])
+def test_equals_counting_every_phrase(spark, shard_words, gathered, monkeypatch):
+    monkeypatch.setattr(module, "GATHERED_ROWS", gathered)
     rows = texts_of(3, 120) + [(None, None), ("en", ""), ("und", "new york city " * 3), ("fr", "lone words")]
     got = collocations(frame(spark, rows).repartition(3), top=25, min_count=5, shard_words=shard_words)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]

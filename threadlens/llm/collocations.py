@@ -33,7 +33,9 @@ PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 BREAK, NO_WORD = b"\xff", 0
 NO_LANG = "und"
 #: Bytes of text cut into words together, and word numbers in one row of a shard.
-SLICE_BYTES, ROW_NUMBERS = 1 << 22, 1 << 20
+SLICE_BYTES, ROW_NUMBERS = 1 << 20, 1 << 20
+#: Rows that a task sends together, and so many it gathers from shards with few phrases.
+SENT_ROWS, GATHERED_ROWS = 1 << 18, 1 << 20
 #: Factors of the filter's hash of up to four word numbers.
 FACTORS = (1_000_003, 754_974_721, 179_424_673, 433_494_437)
 
@@ -110,7 +112,7 @@ def _slices(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def word_shards(docs: DataFrame, shard_words: int = 1 << 21) -> DataFrame:
+def word_shards(docs: DataFrame, shard_words: int = 1 << 20) -> DataFrame:
     """(shard, lang, word, number, n, numbers): vocabularies, and rows of word numbers (no word).
 
     A shard closes at the first break after ``shard_words`` words.
@@ -153,38 +155,64 @@ class PhraseIndex:
         self.words = np.flatnonzero(counts) + 1
         low, high = (ends - counts)[self.words - 1], ends[self.words - 1]
         self.word_intervals = np.stack([low, high, low, high], 1)
-        self.sides = [self._side(numbers, depth), self._side(numbers[::-1], depth)]
+        self.numbers, self.depth = numbers, depth
+        self.sides: dict[bool, tuple[np.ndarray, np.ndarray]] = {}
 
-    def _side(self, numbers: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    def _side(self, left: bool) -> tuple[np.ndarray, np.ndarray]:
         """(symbol before, place of the longer suffix) of every suffix, in their order."""
-        starts = np.flatnonzero(numbers)
-        keys = [np.append(numbers[i:], np.zeros(i, numbers.dtype))[starts] for i in range(depth)]
+        if left in self.sides:
+            return self.sides[left]
+        numbers = self.numbers if left else self.numbers[::-1]
+        starts = np.flatnonzero(numbers).astype(np.int32)
+        # beyond the end there are breaks
+        at = lambda i: np.append(numbers[i:], np.zeros(i, numbers.dtype))[starts]
         width = int(self.n_symbols).bit_length()
-        if width * depth < 64:
-            packed = reduce(lambda a, b: a << width | b, [k.astype(np.int64) for k in keys])
+        if width * self.depth < 64:
+            packed = at(0).astype(np.int64)
+            for i in range(1, self.depth):
+                packed = packed << width | at(i)
             order = np.argsort(packed, kind="stable")
+            del packed
         else:
-            order = np.lexsort(keys[::-1])
+            order = np.lexsort([at(i) for i in reversed(range(self.depth))])
         suffixes = starts[order]
+        del order, starts
         place = np.zeros(len(numbers) + 1, np.int32)
         place[suffixes] = np.arange(len(suffixes), dtype=np.int32)
         before = np.where(suffixes > 0, numbers[suffixes - 1], 0)
-        return before, place[suffixes - 1]
+        self.sides[left] = before, place[suffixes - 1]
+        return self.sides[left]
+
+    def _grouped(self, intervals: np.ndarray, left: bool) -> tuple[np.ndarray, ...]:
+        """(phrase and symbol before as one key, place, first place of each phrase) of all places."""
+        before, _ = self._side(left)
+        low, high = (intervals[:, c] for c in ((0, 1) if left else (2, 3)))
+        sizes = high - low
+        first = np.cumsum(sizes) - sizes
+        at = np.repeat(low - first, sizes).astype(np.int32)
+        at += np.arange(len(at), dtype=np.int32)
+        key = np.repeat(np.arange(len(intervals)) * (self.n_symbols + 1), sizes)
+        key += before[at]
+        return key, at, first
 
-    def extend(self, intervals: np.ndarray, left: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(phrase, symbol, intervals) of all phrases with one symbol more to the left or right.
+    def counts(self, intervals: np.ndarray, left: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(phrase, symbol, count) of all phrases with one symbol more to the left or right.
 
         ``phrase`` is the row of the shorter phrase.
         """
-        before, place = self.sides[0 if left else 1]
+        key = self._grouped(intervals, left)[0]
+        key.sort()
+        begins = np.flatnonzero(np.diff(key, prepend=-1))
+        n = np.diff(begins, append=len(key))
+        phrase, symbol = key[begins] // (self.n_symbols + 1), key[begins] % (self.n_symbols + 1)
+        real = symbol > 0
+        return phrase[real], symbol[real], n[real]
+
+    def extend(self, intervals: np.ndarray, left: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(phrase, symbol, intervals) of the same phrases."""
+        key, at, first = self._grouped(intervals, left)
+        _, place = self._side(left)
         own, other = ((0, 1), (2, 3)) if left else ((2, 3), (0, 1))
-        low = intervals[:, own[0]]
-        sizes = intervals[:, own[1]] - low
-        first = np.cumsum(sizes) - sizes
-        phrase = np.repeat(np.arange(len(intervals)), sizes)
-        at = np.arange(len(phrase)) + np.repeat(low - first, sizes)
-        symbol = before[at].astype(np.int64)
-        key = phrase * (self.n_symbols + 1) + symbol
         order = np.argsort(key, kind="stable")
         key = key[order]
         begins = np.flatnonzero(np.diff(key, prepend=-1))
@@ -232,11 +260,12 @@ def _filter_of(grams: DataFrame, size: int) -> _Filter:
 
 
 def _phrases(index: PhraseIndex, ids: np.ndarray, size: int, filters: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(word numbers, counts) of all phrases of ``size`` words around frequent shorter ones."""
+    """(words of the shard, counts) of all phrases of ``size`` words around frequent shorter ones."""
     words, intervals = index.words[:, None], index.word_intervals
     for n in range(2, size + 1):
         left = n % 2 == 0
-        phrase, symbol, intervals = index.extend(intervals, left)
+        step = index.counts if n == size else index.extend
+        phrase, symbol, intervals = step(intervals, left)
         shorter = words[phrase]
         words = np.concatenate([symbol[:, None], shorter] if left else [shorter, symbol[:, None]], 1)
         if n > 2:
@@ -247,7 +276,18 @@ def _phrases(index: PhraseIndex, ids: np.ndarray, size: int, filters: dict) -> t
         if n in filters:
             kept = filters[n](ids[words])
             words, intervals = words[kept], intervals[kept]
-    return ids[words], intervals[:, 1] - intervals[:, 0]
+    return words, intervals
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases of several shards, each once, with their counts together."""
+    rows, counts = (np.concatenate(x) for x in zip(*parts))
+    if not len(rows):
+        return rows, counts
+    order = np.lexsort(rows.T)
+    rows, counts = rows[order], counts[order]
+    begins = np.flatnonzero(np.append(True, (rows[1:] != rows[:-1]).any(axis=1)))
+    return rows[begins], np.add.reduceat(counts, begins)
 
 
 def _indexed_counts(shards: DataFrame, size: int, filters: dict, depth: int) -> DataFrame:
@@ -255,17 +295,33 @@ def _indexed_counts(shards: DataFrame, size: int, filters: dict, depth: int) ->
     columns = [f"w{i}" for i in range(size)]
     shared = shards.sparkSession.sparkContext.broadcast(filters)
 
+    def sent(rows: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(counts), SENT_ROWS):
+            part = rows[at : at + SENT_ROWS]
+            arrays = [pa.array(part[:, i]) for i in range(size)]
+            arrays.append(pa.array(counts[at : at + SENT_ROWS]))
+            yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for ids, numbers in zip(batch.column(0), batch.column(1)):
                 ids = np.frombuffer(ids.as_py(), np.int64)
                 index = PhraseIndex(np.frombuffer(numbers.as_py(), np.int32), len(ids) - 1, depth)
                 words, counts = _phrases(index, ids, size, shared.value)
-                for at in range(0, len(counts), ROW_NUMBERS):
-                    part = words[at : at + ROW_NUMBERS]
-                    arrays = [pa.array(part[:, i]) for i in range(size)]
-                    arrays.append(pa.array(counts[at : at + ROW_NUMBERS]))
-                    yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "n"])
+                del index
+                if len(counts) > GATHERED_ROWS // 4:
+                    for at in range(0, len(counts), SENT_ROWS):
+                        yield from sent(ids[words[at : at + SENT_ROWS]], counts[at : at + SENT_ROWS])
+                    continue
+                held.append((ids[words], counts))
+                if sum(len(c) for _, c in held) > GATHERED_ROWS:
+                    held = [_summed(held)]
+                    if len(held[0][1]) > GATHERED_ROWS // 2:
+                        yield from sent(*held.pop())
+                pa.default_memory_pool().release_unused()
+        if held:
+            yield from sent(*_summed(held))
 
     schema = ", ".join(f"{c} bigint" for c in [*columns, "n"])
     return shards.select("ids", "numbers").mapInArrow(run, schema)
@@ -286,7 +342,7 @@ def _renumbered(parts: pa.Table, known: pa.Table) -> pa.Table:
 
 
 def phrase_counts(
-    docs: DataFrame, max_words: int = 4, min_count: int = 30, shard_words: int = 1 << 21
+    docs: DataFrame, max_words: int = 4, min_count: int = 30, shard_words: int = 1 << 20
 ) -> tuple[DataFrame, dict[int, DataFrame]]:
     """All words, and all phrases of 1 to ``max_words`` (up to 4) words found ``min_count`` times.
 
@@ -382,7 +438,7 @@ def collocations(
     top: int = 2_000,
     max_words: int = 4,
     min_count: int = 30,
-    shard_words: int = 1 << 21,
+    shard_words: int = 1 << 20,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` best phrases of every language.
 
