@@ -36,8 +36,8 @@ NO_LANG = "und"
 SLICE_BYTES, ROW_NUMBERS = 1 << 20, 1 << 20
 #: Rows that a task sends together, and so many it gathers from shards with few phrases.
 SENT_ROWS, GATHERED_ROWS = 1 << 18, 1 << 20
-#: Factors of the filter's hash of up to four word numbers.
-FACTORS = (1_000_003, 754_974_721, 179_424_673, 433_494_437)
+#: Factors of the filter's hashes of up to four word numbers, and number of hashes.
+FACTORS, HASHES = (1_000_003, 754_974_721, 179_424_673, 433_494_437), 3
 
 _TABLE = bytes(0xFF if b in PIECE_ENDS else b for b in range(256))
 
@@ -229,6 +229,11 @@ class PhraseIndex:
         return phrase[real], symbol[real], new[real]
 
 
+def _factors(size: int) -> list[list[int]]:
+    """Factors of the word numbers, for every hash."""
+    return [[FACTORS[(i + h) % len(FACTORS)] for i in range(size)] for h in range(HASHES)]
+
+
 class _Filter:
     """A set of phrases as bits; may hold phrases that were not put in, never lacks one."""
 
@@ -236,8 +241,11 @@ class _Filter:
         self.bits, self.size = bits, size
 
     def __call__(self, ids: np.ndarray) -> np.ndarray:
-        cell = (sum(f * (ids[:, i] % self.size) for i, f in zip(range(ids.shape[1]), FACTORS))) % self.size
-        return (self.bits[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
+        held = np.ones(len(ids), bool)
+        for factors in _factors(ids.shape[1]):
+            cell = sum(f * (ids[:, i] % self.size) for i, f in enumerate(factors)) % self.size
+            held &= (self.bits[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
+        return held
 
 
 def _prime_below(n: int) -> int:
@@ -247,13 +255,15 @@ def _prime_below(n: int) -> int:
 def _filter_of(grams: DataFrame, size: int) -> _Filter:
     """The phrases of a written table as a filter of at most 2^27 bits, 16 MB to broadcast.
 
-    Beyond some ten million phrases it lets more through, which costs time and changes nothing.
+    Beyond some four million phrases it lets more through, which costs time and changes nothing.
     """
-    cells = _prime_below(filter_bits(grams.count(), 16, 1 << 27))
-    columns = zip([f"w{i}" for i in range(size)], FACTORS)
-    cell = reduce(Column.__add__, [F.col(c) % cells * F.lit(f) for c, f in columns]) % cells + 1
+    cells = _prime_below(filter_bits(grams.count(), 32, 1 << 27))
+    hashes = [
+        reduce(Column.__add__, [F.col(f"w{i}") % cells * F.lit(f) for i, f in enumerate(factors)]) % cells + 1
+        for factors in _factors(size)
+    ]
     bits = np.zeros(((cells >> 15) + 1) << 12, np.uint8)
-    for r in bitmaps(grams.select(cell.alias("cell"))).toLocalIterator():
+    for r in bitmaps(grams.select(F.explode(F.array(*hashes)).alias("cell"))).toLocalIterator():
         at = (r.bucket - 1) << 12
         bits[at : at + len(r.bitmap)] = np.frombuffer(r.bitmap, np.uint8)
     return _Filter(bits, cells)
