@@ -33,7 +33,7 @@ from threadlens.plans.preprocess import clean_and_filter, preprocess
 from threadlens.plans import explore as explore_plan
 from threadlens.plans import results, scoring
 from threadlens.sources import bucketed, readers, writers
-from threadlens.sources.tables import checkpoint_folder, materialize
+from threadlens.sources.tables import checkpoint_folder, materialize, materialize_by
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -606,7 +606,7 @@ def tfidf_vocabulary(spark, sf):
 @query
 def tfidf_weights(spark, sf):
     docs = documents(spark, sf)
-    counts = materialize(ft.doc_terms(docs), "terms")
+    counts = materialize_by(ft.doc_terms(docs), "doc_id", "terms")
     vocab = ft.fit(counts, docs.count(), P.classifier_features, min_df=3, max_df=0.8, sublinear=True)
     return ft.weights(counts, vocab).withColumn("weight", F.round("weight", 6))
 

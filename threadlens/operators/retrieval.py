@@ -16,7 +16,7 @@ from threadlens import params as P
 from threadlens.functions import text as tx
 from threadlens.operators import features
 from threadlens.operators.dense import MARGIN, SCORE_DIGITS, dense_topk  # noqa: F401
-from threadlens.sources.tables import materialize
+from threadlens.sources.tables import materialize, materialize_by
 
 SEED_POSTINGS = 8  # times k postings give the first lower bound of a query's k-th score
 
@@ -38,7 +38,7 @@ class TextIndex:
 
 def build_index(corpus: DataFrame, max_features: int | None, ngram_max: int = 2) -> TextIndex:
     """Index a corpus (doc_id, text)."""
-    counts = materialize(features.doc_terms(corpus, ngram_max=ngram_max), "corpus-terms")
+    counts = materialize_by(features.doc_terms(corpus, ngram_max=ngram_max), "doc_id", "corpus-terms")
     vocab = features.fit(counts, corpus.count(), max_features)
     postings = materialize(features.weights(counts, vocab), "postings")
     terms = postings.groupBy("term").agg(
