@@ -127,7 +127,7 @@ def moved(batch: DataFrame, centres: Centres) -> Centres:
 
 
 def mini_batch_kmeans(
-    rows: DataFrame, k: int, seed: int = 42, batch_rows: int = 1_000, rounds: int = 12, trials: int = 3
+    rows: DataFrame, k: int, seed: int = 42, batch_rows: int = 1_000, rounds: int = 6, trials: int = 3
 ) -> Centres:
     """Centres of sparse rows (doc_id, indices, values).
 
