@@ -1,24 +1,34 @@
 """Substring search for a table of keywords of any number.
 
-A chain of ``contains`` looks at every keyword in every text.  Here texts are cut into
-overlapping pieces of bounded length; for each length that a keyword has, all windows of
-that length are hashed, and the different hashes of a piece meet the hashes of the keywords
-in one join.  What meets is verified, so a hash that agrees by chance changes nothing.  The
-work follows the characters of the texts and the number of different keyword lengths.
+Every task holds a table of bounded size and looks for it in the texts it reads, so nothing
+but the finds is moved: the few keywords of a length one by one, many by looking up all
+windows of that length.
+
+For larger tables texts are cut into overlapping pieces of bounded length; for each length
+that a keyword has, all windows of that length are hashed, and the different hashes of a
+piece meet the hashes of the keywords in one join.  What meets is verified, so a hash that
+agrees by chance changes nothing.  The work follows the characters of the texts and the
+number of different keyword lengths.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadlens.operators.ordering import HotGroups, with_previous
 from threadlens.sources.tables import materialize
 
 #: Characters of a piece, without what it shares with the next one.
 PIECE_CHARS = 1_000
-#: Keyword tables of so many rows are broadcast, some megabytes; larger ones are shuffled.
+#: Keyword tables of so many rows are sent to every task, some megabytes; larger ones are shuffled.
 BROADCAST_KEYWORDS = 50_000
+#: So many keywords of one length are looked for one by one; a window costs as much as some hundreds of them.
+FEW_KEYWORDS = 200
 
 
 def keyword_table(spark, keywords: dict[str, list[str]]) -> DataFrame:
@@ -27,6 +37,31 @@ def keyword_table(spark, keywords: dict[str, list[str]]) -> DataFrame:
     return spark.createDataFrame(rows, "category string, keyword string")
 
 
+def _found(texts: DataFrame, key: str, words: list[str]) -> DataFrame:
+    """(key, keyword) of the texts (key, low), once per text."""
+    by_length: dict[int, set[str]] = {}
+    for word in words:
+        by_length.setdefault(len(word), set()).add(word)
+    schema = T.StructType([texts.schema[key]]).add("keyword", "string")
+    few = FEW_KEYWORDS
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, found = [], []
+            for i, low in enumerate(batch.column(1).to_pylist()):
+                for n, own in by_length.items():
+                    if len(own) <= few:
+                        hits = [w for w in own if w in low]
+                    else:
+                        hits = own.intersection(low[j : j + n] for j in range(len(low) - n + 1))
+                    found.extend(hits)
+                    rows.extend([i] * len(hits))
+            keys = batch.column(0).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(found, pa.string())], names=schema.names)
+
+    return texts.mapInArrow(find, schema)
+
+
 def keyword_hits(texts: DataFrame, keywords: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Different (key, category, keyword) such that the lower-cased text contains the keyword.
 
@@ -41,6 +76,10 @@ def keyword_hits(texts: DataFrame, keywords: DataFrame, key: str, text: str = "t
         return texts.select(key).limit(0).withColumns({"category": F.lit(""), "keyword": F.lit("")})
     longest = lengths[-1]
     low = texts.select(key, F.lower(text).alias("low")).filter("low <> ''")
+    if known.count() <= BROADCAST_KEYWORDS:
+        words = [r["keyword"] for r in known.select("keyword").distinct().collect()]
+        found = _found(low, key, words)
+        return found.join(F.broadcast(known), "keyword").select(key, "category", "keyword").distinct()
     starts = F.sequence(F.lit(0), F.length("low") - 1, F.lit(PIECE_CHARS))
     piece = lambda s: F.substring("low", s + 1, F.lit(PIECE_CHARS + longest - 1))
     pieces = low.select(key, F.explode(F.transform(starts, piece)).alias("piece"))
@@ -53,11 +92,8 @@ def keyword_hits(texts: DataFrame, keywords: DataFrame, key: str, text: str = "t
     listed = F.flatten(F.array_compact(F.array(*[windows(n) for n in lengths])))
     seen = pieces.select(key, "piece", F.explode(F.array_distinct(listed)).alias("h"))
     hashed = known.select("category", "keyword", F.xxhash64("keyword").alias("h"))
-    if known.count() <= BROADCAST_KEYWORDS:
-        met = seen.join(F.broadcast(hashed), "h")
-    else:
-        # few windows are keywords: pieces travel with those alone
-        met = seen.join(hashed, "h")
+    # few windows are keywords: pieces travel with those alone
+    met = seen.join(hashed, "h")
     return met.filter(F.contains("piece", F.col("keyword"))).select(key, "category", "keyword").distinct()
 
 
