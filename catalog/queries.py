@@ -33,7 +33,7 @@ from threadlens.plans.preprocess import clean_and_filter, preprocess
 from threadlens.plans import explore as explore_plan
 from threadlens.plans import results, scoring
 from threadlens.sources import bucketed, readers, writers
-from threadlens.sources.tables import checkpoint_folder, materialize, materialize_by
+from threadlens.sources.tables import checkpoint_folder, materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -606,7 +606,7 @@ def tfidf_vocabulary(spark, sf):
 @query
 def tfidf_weights(spark, sf):
     docs = documents(spark, sf)
-    counts = materialize_by(ft.doc_terms(docs), "doc_id", "terms")
+    counts = ft.written_terms(docs, "terms")
     vocab = ft.fit(counts, docs.count(), P.classifier_features, min_df=3, max_df=0.8, sublinear=True)
     return ft.weights(counts, vocab).withColumn("weight", F.round("weight", 6))
 
@@ -708,8 +708,7 @@ RULE_INTERCEPT = 0.01
 
 def rule_model(docs, labels) -> cl.IntentModel:
     """A classifier whose weights follow from terms and classes; its vocabulary is fitted."""
-    counts = materialize(ft.doc_terms(docs, ngram_max=P.ngram_max), "rule-terms")
-    vocab = ft.fit(counts, docs.count(), P.classifier_features, sublinear=True)
+    vocab = ft.fit(ft.doc_terms(docs, ngram_max=P.ngram_max), docs.count(), P.classifier_features, sublinear=True)
     names = sorted(labels)
     listed = F.posexplode(F.array(*[F.lit(x) for x in names])).alias("i", "label")
     weights = vocab.table.select("term", listed).withColumn("weight", F.expr(RULE_WEIGHT) / F.lit(2.0))

@@ -19,7 +19,7 @@ from threadlens import params as P
 from threadlens.functions import text as tx
 from threadlens.operators import features
 from threadlens.sources.schemas import resolve_column
-from threadlens.sources.tables import materialize, materialize_by, write_table
+from threadlens.sources.tables import materialize, write_table
 
 
 def as_vectors(sparse: DataFrame, size: int, n_rows: int, keep: list[str]) -> DataFrame:
@@ -74,7 +74,7 @@ def train(df: DataFrame, p: P.Params) -> IntentModel:
     spark = df.sparkSession
     rows = materialize(df.select("doc_id", "text", "label"), "training")
     n_docs = rows.count()
-    counts = materialize_by(features.doc_terms(rows, ngram_max=p.ngram_max), "doc_id", "training-terms")
+    counts = features.written_terms(rows, "training-terms", ngram_max=p.ngram_max)
     vocab = features.fit(counts, n_docs, p.classifier_features, sublinear=True, index=True)
     # labels are a closed set, a few dozen at most
     classes = [r["label"] for r in rows.select("label").distinct().orderBy("label").collect()]

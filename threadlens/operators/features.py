@@ -14,7 +14,25 @@ from pyspark.sql.window import Window
 
 from threadlens.functions import text as tx
 from threadlens.operators.ordering import numbered
-from threadlens.sources.tables import materialize
+from threadlens.sources.tables import materialize, materialize_by
+
+
+#: Characters of text whose terms one task counts: at most some 100 MB of memory, and not
+#: less than a task is worth.
+PARTITION_CHARS, LEAST_CHARS = 4_000_000, 250_000
+
+
+def term_partitions(docs: DataFrame, text_col: str = "text") -> int:
+    """Partitions for the terms of the texts by their length, so that none grows with the input."""
+    own = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chars = docs.agg(F.sum(F.length(text_col).cast("bigint")).alias("n")).first()["n"] or 0
+    return max(1, min(own, chars // LEAST_CHARS), -(-chars // PARTITION_CHARS))
+
+
+def written_terms(docs: DataFrame, name: str, **settings) -> DataFrame:
+    """``doc_terms`` as a written table in buckets of documents, each as large as a task counted."""
+    n = term_partitions(docs, settings.get("text_col", "text"))
+    return materialize_by(doc_terms(docs, partitions=n, **settings), "doc_id", name, n)
 
 
 def doc_terms(
@@ -23,14 +41,17 @@ def doc_terms(
     text_col: str = "text",
     ngram_max: int = 2,
     stop_words: list[str] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """(doc_id, term, tf) for all runs of 1..ngram_max terms.
 
     Documents are distributed by id before they are split, so that counting and
-    every later step per document runs without moving the exploded terms.
+    every later step per document runs without moving the exploded terms.  Terms take many
+    times the room of their text, so the number of partitions follows the characters.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    spread = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).repartition("doc_id")
+    spread = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
+    spread = spread.repartition(partitions or term_partitions(docs, text_col), "doc_id")
     words = spread.select("doc_id", tx.once(tx.terms(F.col("text"), stop_words)).alias("w"))
     grams = [tx.ngrams(F.col("w"), n) for n in range(1, ngram_max + 1)]
     return (

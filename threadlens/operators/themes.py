@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from threadlens import params as P
 from threadlens.operators import features, minibatch
-from threadlens.sources.tables import materialize, materialize_by
+from threadlens.sources.tables import materialize
 
 
 @dataclass(frozen=True)
@@ -28,9 +28,7 @@ def theme_features(
     openings: DataFrame, p: P.Params, min_df: int = 3, max_df: float = 0.8, max_features: int = 5000
 ) -> tuple[DataFrame, features.Vocabulary]:
     """Sparse rows of opening messages (doc_id, text), written, and their vocabulary."""
-    counts = materialize_by(
-        features.doc_terms(openings, ngram_max=p.ngram_max, stop_words=P.STOP_WORDS), "doc_id", "opening-terms"
-    )
+    counts = features.written_terms(openings, "opening-terms", ngram_max=p.ngram_max, stop_words=P.STOP_WORDS)
     vocab = features.fit(
         counts, openings.count(), max_features, min_df=min_df, max_df=max_df, sublinear=True, index=True
     )
