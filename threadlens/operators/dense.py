@@ -7,8 +7,9 @@ the cells with the highest bounds that hold k vectors together; the k-th score f
 is a floor, and of the other cells only those are visited whose bound reaches it.  What is
 skipped cannot enter the result, whatever the centres are; good centres only skip more.
 
-Visits are rows (query, cell).  A cell of many vectors or many visitors is cut into blocks,
-and one task multiplies one block of each.
+Cells lie in groups of bounded size, and a query is sent to a group once with the cells it
+visits there.  A group of many visitors and a cell of many vectors are cut into blocks; one
+task compares a block of each, some thousand rows at a time.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ SCORE_DIGITS = 9  # scores are compared at this precision, ties go to the lower
 MARGIN = 1e-8  # scores that differ by less may tie after rounding
 ANGLE_SLACK = 1e-7  # rounding of angles
 CELL_ROWS, MAX_CELLS = 1_000, 1_024
+GROUP_ROWS = 32_768  # vectors or visitors that meet in one task
 NO_DIRECTION = -1  # cell of vectors of length zero, which score zero with everything
 
 
@@ -126,14 +128,105 @@ def _planned(queries: DataFrame, index: DenseIndex, k: int) -> DataFrame:
     return queries.filter("vector IS NOT NULL").select("query_id", "vector").mapInArrow(plan, schema)
 
 
+def _grouped(index: DenseIndex, group_rows: int) -> tuple[dict[int, int], list[int]]:
+    """Neighbouring cells in groups of about ``group_rows`` vectors: the group of every cell, and
+    into how many blocks of documents each group is cut, which only a larger cell needs."""
+    group, sizes = {}, []
+    for cell in sorted(index.sizes):
+        if not sizes or sizes[-1] + index.sizes[cell] > group_rows:
+            sizes.append(0)
+        group[cell] = len(sizes) - 1
+        sizes[-1] += index.sizes[cell]
+    return group, [-(-n // group_rows) for n in sizes]
+
+
+def _first_k(rows: np.ndarray, scores: np.ndarray, places: np.ndarray, k: int) -> np.ndarray:
+    """Where the k best of each row are, by score and then place."""
+    order = np.lexsort((places, -scores, rows))
+    own = rows[order]
+    nth = np.arange(len(own)) - np.searchsorted(own, own, "left")
+    return order[nth < k]
+
+
+def _best_pairs(
+    asked: np.ndarray, held: np.ndarray, wanted: np.ndarray, cell: np.ndarray, k: int, block_rows: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of queries and vectors, and scores, of each query's k best vectors of wanted cells.
+
+    ``wanted`` has a row per query and a column per cell, ``cell`` a vector's column; vectors
+    are in the order of ids.  Single precision tells what can be among the k best, and the
+    score of that is computed in double.
+    """
+    slack = MARGIN + 4 * asked.shape[1] * float(np.finfo(np.float32).eps)
+    by_cell = np.argsort(cell, kind="stable")
+    out = []
+    for start in range(0, len(asked), block_rows):
+        own = asked[start : start + block_rows]
+        visits, single = wanted[start : start + block_rows], own.astype(np.float32)
+        floor = np.full(len(own), -np.inf)
+        rows, docs, best = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        for at in range(0, len(held), block_rows):
+            some = by_cell[at : at + block_rows]
+            seen = visits[:, cell[some]]
+            who = np.flatnonzero(seen.any(axis=1))
+            if not len(who):
+                continue
+            scores = single[who] @ held[some].astype(np.float32).T
+            scores[~seen[who]] = -np.inf
+            limit = floor[who]
+            new = np.flatnonzero(np.isneginf(limit))
+            if len(new) and len(some) > k:
+                limit[new] = np.partition(scores[new], -k, axis=1)[:, -k] - slack
+            r, c = np.nonzero((scores >= (limit - slack)[:, None]) & np.isfinite(scores))
+            r = who[r]
+            exact = np.round(np.einsum("ij,ij->i", own[r], held[some[c]]), SCORE_DIGITS)
+            rows, docs, best = np.concatenate([rows, r]), np.concatenate([docs, some[c]]), np.concatenate([best, exact])
+            keep = _first_k(rows, best, docs, k)
+            rows, docs, best = rows[keep], docs[keep], best[keep]
+            ends = np.searchsorted(rows, np.arange(len(own)), "right")
+            full = np.flatnonzero(np.bincount(rows, minlength=len(own)) == k)
+            floor[full] = best[ends[full] - 1]
+        out.append((rows + start, docs, best))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
 def _best_of_visits(visits: DataFrame, index: DenseIndex, k: int, block_rows: int) -> DataFrame:
-    """The k best (query_id, doc_id, score) of every block that the visits (query_id, vector, cell) meet."""
+    """The k best (query_id, doc_id, score) of every block that the visits (query_id, vector, cells) meet.
+
+    A query travels once for all cells of a group that it visits, and a vector once for every
+    block of visitors of its group.
+    """
     spark = visits.sparkSession
-    counts = {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}
-    blocks = lambda n: -(-n // block_rows)
+    side = max(1, int((4 * spark.sparkContext.defaultParallelism) ** 0.5))
+    group_rows = min(GROUP_ROWS, max(block_rows, -(-sum(index.sizes.values()) // side)))
+    group, doc_blocks = _grouped(index, group_rows)
+    known = sorted(group)
+    numbers = np.array([group[c] for c in known])
+    query = visits.schema["query_id"]
+    fields = T.StructType([query]).add("vector", T.ArrayType(T.DoubleType()))
+    fields = fields.add("grp", "integer").add("cells", T.ArrayType(T.IntegerType()))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = batch.column(2)
+            flat = cells.flatten().to_numpy(zero_copy_only=False)
+            rows = np.repeat(np.arange(len(batch)), pa.compute.list_value_length(cells).to_numpy())
+            own = numbers[np.searchsorted(known, flat)] if len(flat) else flat
+            order = np.lexsort((own, rows))
+            rows, own, flat = rows[order], own[order], flat[order]
+            heads = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (own[1:] != own[:-1])][: len(rows)])
+            ends = np.append(heads, len(rows)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
+            taken = pa.array(rows[heads])
+            arrays = [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(own[heads].astype(np.int32)), lists]
+            yield pa.RecordBatch.from_arrays(arrays, names=fields.names)
+
+    asked = visits.select("query_id", "vector", "cells").mapInArrow(deal, fields)
+    counts = {r["grp"]: r["count"] for r in asked.groupBy("grp").count().collect()}
     # one row per cell, so at most MAX_CELLS + 1
-    plan = [(c, blocks(index.sizes[c]), blocks(n)) for c, n in counts.items()]
-    table = F.broadcast(spark.createDataFrame(plan, "cell int, doc_blocks int, query_blocks int"))
+    plan = [(c, g, doc_blocks[g], -(-counts[g] // group_rows)) for c, g in group.items() if g in counts]
+    table = spark.createDataFrame(plan, "cell int, grp int, doc_blocks int, query_blocks int")
+    groups = F.broadcast(table.drop("cell").distinct())
 
     def own_block(column: str, n: str) -> Column:
         return F.pmod(F.xxhash64(column), F.col(n)).cast("int")
@@ -141,33 +234,38 @@ def _best_of_visits(visits: DataFrame, index: DenseIndex, k: int, block_rows: in
     def every(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    asked = visits.join(table, "cell").withColumn("query_block", own_block("query_id", "query_blocks"))
+    asked = asked.join(groups, "grp").withColumn("query_block", own_block("query_id", "query_blocks"))
     asked = asked.withColumn("doc_block", every("doc_blocks"))
-    held = index.vectors.join(table, "cell").withColumn("doc_block", own_block("doc_id", "doc_blocks"))
+    held = index.vectors.join(F.broadcast(table), "cell").withColumn("doc_block", own_block("doc_id", "doc_blocks"))
     held = held.withColumn("query_block", every("query_blocks"))
-    schema = T.StructType([visits.schema["query_id"], index.vectors.schema["doc_id"]]).add("score", "double")
+    schema = T.StructType([query, index.vectors.schema["doc_id"]]).add("score", "double")
 
     def best(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
             none = [left.column("query_id").slice(0, 0), right.column("doc_id").slice(0, 0), pa.array([], pa.float64())]
             return pa.table(none, names=schema.names)
         ids = right.column("doc_id").combine_chunks()
-        by_id = pa.compute.sort_indices(ids).to_numpy()
-        scores = np.round(_matrix(left.column("vector")) @ _matrix(right.column("vector")).T, SCORE_DIGITS)
-        order = np.argsort(-scores[:, by_id], axis=1, kind="stable")[:, :k]
-        columns = by_id[order].ravel()
-        rows = np.repeat(np.arange(len(left)), order.shape[1])
+        by_id = pa.compute.sort_indices(ids)
+        own, cell = np.unique(right.column("cell").to_numpy()[by_id.to_numpy()], return_inverse=True)
+        lists = left.column("cells").combine_chunks()
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        rows = np.repeat(np.arange(len(left)), pa.compute.list_value_length(lists).to_numpy())
+        here = np.isin(flat, own)
+        wanted = np.zeros((len(left), len(own)), bool)
+        wanted[rows[here], np.searchsorted(own, flat[here])] = True
+        vectors = _matrix(right.column("vector"))[by_id.to_numpy()]
+        queries, docs, scores = _best_pairs(_matrix(left.column("vector")), vectors, wanted, cell, k, block_rows)
         return pa.table(
             {
-                "query_id": left.column("query_id").combine_chunks().take(pa.array(rows)),
-                "doc_id": ids.take(pa.array(columns)),
-                "score": pa.array(scores[rows, columns]),
+                "query_id": left.column("query_id").combine_chunks().take(pa.array(queries)),
+                "doc_id": ids.take(by_id).take(pa.array(docs)),
+                "score": pa.array(scores),
             }
         )
 
-    keys = ["cell", "query_block", "doc_block"]
-    asked = asked.select(*keys, "query_id", "vector").groupBy(*keys)
-    held = held.select(*keys, "doc_id", "vector").groupBy(*keys)
+    keys = ["grp", "query_block", "doc_block"]
+    asked = asked.select(*keys, "query_id", "vector", "cells").groupBy(*keys)
+    held = held.select(*keys, "doc_id", "vector", "cell").groupBy(*keys)
     return asked.cogroup(held).applyInArrow(best, schema)
 
 
@@ -186,19 +284,20 @@ def search_dense(queries: DataFrame, index: DenseIndex, k: int, block_rows: int)
     zero scores zero with everything; queries without a vector return nothing.
     """
     planned = materialize(_planned(queries, index, k), "dense-plans")
-    entry = F.explode(F.arrays_zip("cells", "bounds", "firsts")).alias("v")
-    flat = planned.select("query_id", "vector", entry).select(
-        "query_id", "vector", F.col("v.cells").alias("cell"), F.col("v.bounds").alias("bound"), F.col("v.firsts").alias("first")
-    )
-    found = materialize(_best_of_visits(flat.filter("first"), index, k, block_rows), "dense-first")
+    entries = F.arrays_zip("cells", "bounds", "firsts")
+    chosen = lambda test: F.transform(F.filter(entries, test), lambda v: v["cells"]).alias("cells")
+    first = planned.select("query_id", "vector", chosen(lambda v: v["firsts"]))
+    found = materialize(_best_of_visits(first, index, k, block_rows), "dense-first")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     floors = ranked.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).alias("floor"))
-    rest = flat.filter("NOT first").join(floors, "query_id", "left")
-    rest = rest.filter(F.col("bound") >= F.coalesce("floor", F.lit(-2.0)) - MARGIN)
+    least = F.coalesce("floor", F.lit(-2.0)) - MARGIN
+    rest = planned.join(floors, "query_id", "left").withColumn("least", least)
+    rest = rest.select("query_id", "vector", chosen(lambda v: ~v["firsts"] & (v["bounds"] >= F.col("least"))))
+    rest = materialize(rest.filter(F.size("cells") > 0), "dense-rest")
     more = _best_of_visits(rest, index, k, block_rows)
     top = found.unionByName(more).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    later = rest.groupBy("query_id").agg(F.count("*").alias("later"))
+    later = rest.groupBy("query_id").agg(F.sum(F.size("cells")).alias("later"))
     firsts = F.size(F.filter("firsts", lambda x: x))
     visits = planned.join(later, "query_id", "left").select(
         "query_id", F.size("cells").alias("n_cells"), (firsts + F.coalesce("later", F.lit(0))).cast("int").alias("n_visited")
