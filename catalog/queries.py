@@ -33,7 +33,7 @@ from threadlens.plans.preprocess import clean_and_filter, preprocess
 from threadlens.plans import explore as explore_plan
 from threadlens.plans import results, scoring
 from threadlens.sources import bucketed, readers, writers
-from threadlens.sources.tables import checkpoint_folder, materialize
+from threadlens.sources.tables import checkpoint_folder, materialize, materialize_by
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,6 +59,12 @@ def processed(spark, sf, big=None):
     return clean_and_filter(ad.messages(spark, sf), P, big or hot(spark, sf))
 
 
+def written_messages(spark, sf, big):
+    """The processed messages by conversation, written, with the columns that those are made of."""
+    columns = ["conversation_id", "tweet_id", "created_at", "role", "author_id", "text"]
+    return materialize_by(processed(spark, sf, big).select(*columns), "conversation_id", "messages")
+
+
 def ordered(spark, sf, operator, *args):
     """Apply an operator that orders conversations to the processed messages."""
     big = hot(spark, sf)
@@ -852,7 +858,7 @@ def extract_brand_reply(spark, sf):
 
 def fitted_scorer(spark, sf):
     big = hot(spark, sf)
-    final = materialize(processed(spark, sf, big), "messages")
+    final = written_messages(spark, sf, big)
     golden = an.golden_with_text(
         an.golden_records(ad.annotations(spark, sf)), cv.conversation_table(final, P, big)
     )
@@ -879,17 +885,19 @@ def inference_json(spark, sf):
     return de.scoring_record(scored_messages(spark, sf))
 
 
-def fixed_scorer(spark, sf, final=None):
-    """Scoring by given intent weights; evidence and vocabulary are the evidence pairs."""
-    final = materialize(processed(spark, sf), "messages") if final is None else final
-    evidence = materialize(cv.evidence_pairs(final).withColumnRenamed("conversation_id", "doc_id"), "fixed-pairs")
+def evidence_of(messages):
+    return scoring.written_evidence(cv.evidence_pairs(messages).withColumnRenamed("conversation_id", "doc_id"))
+
+
+def fixed_scorer(evidence):
+    """Scoring by given intent weights; evidence and vocabulary are the written evidence pairs."""
     model = rule_model(evidence.select("doc_id", F.col("customer_text").alias("text")), PR.INTENTS)
-    return scoring.scorer_of(model, evidence, P)
+    return scoring.scorer_of(model, evidence, P, written=True)
 
 
 def fixed_scores(spark, sf):
     incoming = ad.messages(spark, sf).filter("role = 'customer'").select(F.col("tweet_id").alias("doc_id"), "text")
-    return scoring.score_messages(incoming, fixed_scorer(spark, sf))
+    return scoring.score_messages(incoming, fixed_scorer(evidence_of(processed(spark, sf))))
 
 
 @query
@@ -1070,21 +1078,22 @@ def system_comparison(spark, sf):
 
 
 def golden_inputs(spark, sf):
-    """Golden conversations with their replies, the neighbour corpus, the messages behind them."""
+    """Golden conversations with their replies, the neighbour corpus, the written evidence pairs."""
     big = hot(spark, sf)
-    final = materialize(processed(spark, sf, big), "messages")
+    final = written_messages(spark, sf, big)
     table = cv.conversation_table(final, P, big)
     golden = an.golden_with_text(an.golden_records(ad.annotations(spark, sf)), table)
     golden = materialize(
         golden.select("conversation_id", F.col("text").alias("customer_text"), "primary_intent", "escalation"), "golden"
     )
-    pairs = materialize(cv.evidence_pairs(final), "pairs")
-    labelled = golden.join(pairs.select("conversation_id", "brand_reply"), "conversation_id", "left").na.fill("", ["brand_reply"])
+    pairs = evidence_of(final)
+    replies = pairs.select(F.col("doc_id").alias("conversation_id"), "brand_reply")
+    labelled = golden.join(replies, "conversation_id", "left").na.fill("", ["brand_reply"])
     corpus = labelled.select(
         F.col("conversation_id").alias("doc_id"), F.col("customer_text").alias("text"),
         F.col("primary_intent").alias("label"), F.col("brand_reply").alias("reply"),
     )
-    return labelled, corpus, final
+    return labelled, corpus, pairs
 
 
 @query
@@ -1092,10 +1101,9 @@ def predictions(spark, sf):
     """Three systems on the golden conversations, neighbour corpus: the evidence pairs."""
     from threadlens.plans.evaluate import predict_all
 
-    labelled, corpus, final = golden_inputs(spark, sf)
-    training = corpus.select("doc_id", "text", "label")
-    evidence = cv.evidence_pairs(final).withColumnRenamed("conversation_id", "doc_id")
-    return predict_all(labelled, corpus, scoring.fit_scorer(training, evidence, P), P)
+    labelled, corpus, evidence = golden_inputs(spark, sf)
+    scorer = scoring.scorer_of(cl.train(corpus.select("doc_id", "text", "label"), P), evidence, P, written=True)
+    return predict_all(labelled, corpus, scorer, P)
 
 
 @query
@@ -1103,8 +1111,8 @@ def predictions_fixed(spark, sf):
     """Three systems on the golden conversations; the full system has given weights."""
     from threadlens.plans.evaluate import predict_all
 
-    labelled, corpus, final = golden_inputs(spark, sf)
-    found = predict_all(labelled, corpus, fixed_scorer(spark, sf, final), P)
+    labelled, corpus, evidence = golden_inputs(spark, sf)
+    found = predict_all(labelled, corpus, fixed_scorer(evidence), P)
     return found.withColumns({c: F.round(c, 6) for c in ("b2_confidence", "agent_confidence")})
 
 

@@ -81,3 +81,20 @@ def test_dense_queries_travel_once_a_group(spark, monkeypatch):
     for r in top.orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append(r.doc_id)
     assert got == {i: sorted(range(120), key=lambda j: (-sims[i, j], j))[:4] for i in range(120)}  # noqa: B023
+
+
+@pytest.mark.parametrize("bound", [0, 10**6])
+def test_evidence_texts_stay_out_of_shuffles(spark, monkeypatch, bound):
+    monkeypatch.setattr(rt, "BROADCAST_CHARS", bound)
+    rows = [("a", "late parcel", "on its way"), ("b", None, "sorry"), ("b", "again", None), (None, "lost", "x")]
+    evidence = spark.createDataFrame(rows, "doc_id string, customer_text string, brand_reply string")
+    found = [(1, "a", 0.51234, 2), (1, "b", 0.9, 1), (2, "a", 0.3, 1), (3, "c", 0.2, 1), (None, "a", 0.1, 1)]
+    matches = spark.createDataFrame(found, "query_id bigint, doc_id string, score double, rank int")
+    out = rt.evidence_list(matches, evidence)
+    # the queries are dealt out below the join with the texts, or else above it
+    above = plan(out).split("Exchange hashpartitioning(query_id")
+    assert len(above) == 2 and ("Join" in above[0]) == bool(bound)
+    got = {r.query_id: [(e["rank"], e.conversation_id, e.customer_text, e.brand_reply, e.similarity_score) for e in r.evidence] for r in out.collect()}
+    twice = [(1, "b", None, "sorry", 0.9), (1, "b", "again", None, 0.9)]
+    last = lambda rank, score: (rank, "a", "late parcel", "on its way", score)
+    assert got == {1: [*twice, last(2, 0.5123)], 2: [last(1, 0.3)], None: [last(1, 0.1)]}

@@ -50,20 +50,26 @@ def scorer_from_sources(
     return fit_scorer(cl.training_columns(training), evidence, p)
 
 
-def scorer_of(model: cl.IntentModel | Transformer, evidence: DataFrame, p: Params) -> Scorer:
+def written_evidence(evidence: DataFrame) -> DataFrame:
+    """(doc_id, customer_text, brand_reply) as a written table; ids are text."""
+    ids = F.col("doc_id").cast("string").alias("doc_id")
+    return materialize(evidence.select(ids, "customer_text", "brand_reply"), "evidence")
+
+
+def scorer_of(
+    model: cl.IntentModel | Transformer, evidence: DataFrame, p: Params, written: bool = False
+) -> Scorer:
     """Scoring with a model that is there already, fitted or of given weights.
 
     Any ML transformer will do that adds predicted_intent, confidence and candidates to
     rows (doc_id, text), so a saved pipeline can be put in.
+    With ``written`` the evidence is a ``written_evidence`` already and not written again.
     """
     if isinstance(model, Transformer):
         classify = lambda rows: model.transform(rows).select("doc_id", *ADDED)
     else:
         classify = lambda rows: cl.classify(rows, model)
-    corpus = materialize(
-        evidence.select(F.col("doc_id").cast("string").alias("doc_id"), "customer_text", "brand_reply"),
-        "evidence",
-    )
+    corpus = evidence if written else written_evidence(evidence)
     index = rt.build_index(
         corpus.select("doc_id", F.coalesce("customer_text", F.lit("")).alias("text")),
         p.retrieval_features,
