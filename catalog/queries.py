@@ -605,15 +605,17 @@ def doc_terms(spark, sf):
 @query
 def tfidf_vocabulary(spark, sf):
     docs = documents(spark, sf)
-    table = ft.vocabulary(ft.doc_terms(docs), docs.count(), P.retrieval_features)
-    return table.withColumn("idf", F.round("idf", 6))
+    n = ft.term_partitions(docs)
+    vocab = ft.fit(ft.doc_terms(docs, partitions=n), docs.count(), P.retrieval_features, partitions=n)
+    return vocab.table.withColumn("idf", F.round("idf", 6))
 
 
 @query
 def tfidf_weights(spark, sf):
     docs = documents(spark, sf)
-    counts = ft.written_terms(docs, "terms")
-    vocab = ft.fit(counts, docs.count(), P.classifier_features, min_df=3, max_df=0.8, sublinear=True)
+    n = ft.term_partitions(docs)
+    counts = ft.written_terms(docs, "terms", n)
+    vocab = ft.fit(counts, docs.count(), P.classifier_features, min_df=3, max_df=0.8, sublinear=True, partitions=n)
     return ft.weights(counts, vocab).withColumn("weight", F.round("weight", 6))
 
 
@@ -714,7 +716,9 @@ RULE_INTERCEPT = 0.01
 
 def rule_model(docs, labels) -> cl.IntentModel:
     """A classifier whose weights follow from terms and classes; its vocabulary is fitted."""
-    vocab = ft.fit(ft.doc_terms(docs, ngram_max=P.ngram_max), docs.count(), P.classifier_features, sublinear=True)
+    n = ft.term_partitions(docs)
+    counts = ft.doc_terms(docs, ngram_max=P.ngram_max, partitions=n)
+    vocab = ft.fit(counts, docs.count(), P.classifier_features, sublinear=True, partitions=n)
     names = sorted(labels)
     listed = F.posexplode(F.array(*[F.lit(x) for x in names])).alias("i", "label")
     weights = vocab.table.select("term", listed).withColumn("weight", F.expr(RULE_WEIGHT) / F.lit(2.0))

@@ -1,6 +1,7 @@
 """What is moved and held grows no faster than the input."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -98,3 +99,16 @@ def test_evidence_texts_stay_out_of_shuffles(spark, monkeypatch, bound):
     twice = [(1, "b", None, "sorry", 0.9), (1, "b", "again", None, 0.9)]
     last = lambda rank, score: (rank, "a", "late parcel", "on its way", score)
     assert got == {1: [*twice, last(2, 0.5123)], 2: [last(1, 0.3)], None: [last(1, 0.1)]}
+
+
+def test_tasks_of_vocabularies_follow_the_text(spark, monkeypatch):
+    docs = numbered(spark, ["late parcel again"] * 200, "doc_id")
+    monkeypatch.setattr(ft, "PARTITION_CHARS", 100)
+    before, plans, write = spark.conf.get("spark.sql.shuffle.partitions"), [], ft.materialize
+    monkeypatch.setattr(ft, "materialize", lambda df, name: plans.append(plan(df)) or write(df, name))
+    n = ft.term_partitions(docs)
+    vocab = ft.fit(ft.written_terms(docs, "growth", n), 200, 3, partitions=n)
+    assert n == 34 and re.findall(r"Exchange hashpartitioning\(term#\d+, (\d+)\)", plans[0]) == ["9"]
+    assert sorted(map(tuple, vocab.table.select("term", "df", "tf").collect())) == [(t, 200, 200) for t in ("again", "late", "late parcel")]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert ft.fit(ft.doc_terms(docs), 200, 3).table.count() == 3

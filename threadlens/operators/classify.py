@@ -74,8 +74,9 @@ def train(df: DataFrame, p: P.Params) -> IntentModel:
     spark = df.sparkSession
     rows = materialize(df.select("doc_id", "text", "label"), "training")
     n_docs = rows.count()
-    counts = features.written_terms(rows, "training-terms", ngram_max=p.ngram_max)
-    vocab = features.fit(counts, n_docs, p.classifier_features, sublinear=True, index=True)
+    n = features.term_partitions(rows)
+    counts = features.written_terms(rows, "training-terms", n, ngram_max=p.ngram_max)
+    vocab = features.fit(counts, n_docs, p.classifier_features, sublinear=True, index=True, partitions=n)
     # labels are a closed set, a few dozen at most
     classes = [r["label"] for r in rows.select("label").distinct().orderBy("label").collect()]
     label_ids = spark.createDataFrame(list(enumerate(map(str, classes))), "y int, label string")

@@ -14,12 +14,14 @@ from pyspark.sql.window import Window
 
 from threadlens.functions import text as tx
 from threadlens.operators.ordering import numbered
-from threadlens.sources.tables import materialize, materialize_by
+from threadlens.sources.tables import materialize, materialize_by, session_settings
 
 
 #: Characters of text whose terms one task counts: at most some 100 MB of memory, and not
 #: less than a task is worth.
 PARTITION_CHARS, LEAST_CHARS = 4_000_000, 250_000
+#: Such partitions whose different terms one task sums up.
+SUMMED_PARTITIONS = 4
 
 
 def term_partitions(docs: DataFrame, text_col: str = "text") -> int:
@@ -29,9 +31,9 @@ def term_partitions(docs: DataFrame, text_col: str = "text") -> int:
     return max(1, min(own, chars // LEAST_CHARS), -(-chars // PARTITION_CHARS))
 
 
-def written_terms(docs: DataFrame, name: str, **settings) -> DataFrame:
+def written_terms(docs: DataFrame, name: str, partitions: int | None = None, **settings) -> DataFrame:
     """``doc_terms`` as a written table in buckets of documents, each as large as a task counted."""
-    n = term_partitions(docs, settings.get("text_col", "text"))
+    n = partitions or term_partitions(docs, settings.get("text_col", "text"))
     return materialize_by(doc_terms(docs, partitions=n, **settings), "doc_id", name, n)
 
 
@@ -106,16 +108,25 @@ def fit(
     max_df: float = 1.0,
     sublinear: bool = False,
     index: bool = False,
+    partitions: int | None = None,
 ) -> Vocabulary:
     """Fit once and keep the vocabulary as a written table.
 
     With ``index`` the terms also get a dense number ``idx`` in term order, by a
-    range-partitioned sort.
+    range-partitioned sort.  ``partitions`` are those of ``counts``: as many tasks read and sum up
+    its terms, and tasks with the sums follow their number, so that none grows with the text.
     """
-    table = vocabulary(counts, n_docs, max_features, min_df, max_df)
-    if index:
-        table = numbered(table, ["term"], "idx").withColumn("idx", F.col("idx").cast("int"))
-    return Vocabulary(materialize(table, "vocabulary"), max_features, sublinear, n_docs)
+    spark = counts.sparkSession
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(own, -(-(partitions or 0) // SUMMED_PARTITIONS))
+    bounded = {"spark.sql.shuffle.partitions": str(tasks)}
+    if partitions:
+        bounded["spark.sql.files.minPartitionNum"] = str(partitions)
+    with session_settings(spark, bounded):
+        table = vocabulary(counts, n_docs, max_features, min_df, max_df)
+        if index:
+            table = numbered(table, ["term"], "idx").withColumn("idx", F.col("idx").cast("int"))
+        return Vocabulary(materialize(table, "vocabulary"), max_features, sublinear, n_docs)
 
 
 def _raw_weights(counts: DataFrame, vocab: Vocabulary, *columns: str) -> DataFrame:
