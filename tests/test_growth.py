@@ -7,10 +7,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from threadlens.operators import classify as cl
 from threadlens.operators import dense
 from threadlens.operators import features as ft
 from threadlens.operators import keywords as kw
 from threadlens.operators import retrieval as rt
+from threadlens.sources.tables import session_settings
 
 
 def numbered(spark, rows, key, column="text"):
@@ -112,3 +114,12 @@ def test_tasks_of_vocabularies_follow_the_text(spark, monkeypatch):
     assert sorted(map(tuple, vocab.table.select("term", "df", "tf").collect())) == [(t, 200, 200) for t in ("again", "late", "late parcel")]
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert ft.fit(ft.doc_terms(docs), 200, 3).table.count() == 3
+
+
+@pytest.mark.parametrize("n_rows, partitions", [(30_000, 4), (100_000, 4), (200_000, 8), (3_000, 1)])
+def test_training_sends_few_gradients_a_pass(spark, n_rows, partitions):
+    rows = spark.range(24).selectExpr("id AS y", "array(0) AS indices", "array(1.0D) AS values").repartition(12)
+    with session_settings(spark, {"spark.sql.files.minPartitionNum": "48"}):
+        vectors = cl.as_vectors(rows, 1, n_rows, ["y"])
+        assert vectors.rdd.getNumPartitions() == partitions
+    assert vectors.count() == 24

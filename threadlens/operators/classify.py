@@ -22,12 +22,17 @@ from threadlens.sources.schemas import resolve_column
 from threadlens.sources.tables import materialize, write_table
 
 
+#: Rows that are worth a partition of their own in training, and rows of a full partition.
+LEAST_ROWS, MOST_ROWS = 2_500, 25_000
+
+
 def as_vectors(sparse: DataFrame, size: int, n_rows: int, keep: list[str]) -> DataFrame:
     """(indices, values) columns as a written table with an ML vector column.
 
     A vector column is stored as the struct below, so the table is written with
-    the struct and read with the vector type.  Training passes over it many times;
-    tiny tables are read by few tasks, large ones keep all their partitions.
+    the struct and read with the vector type.  Training passes over it many times, and in
+    every pass each partition sends a whole gradient: there are as many as there are cores,
+    and more only where rows are many; tiny tables are read by few tasks.
     """
     stored = sparse.select(
         *keep,
@@ -43,7 +48,8 @@ def as_vectors(sparse: DataFrame, size: int, n_rows: int, keep: list[str]) -> Da
         [f for f in stored.schema.fields if f.name in keep] + [T.StructField("features", VectorUDT())]
     )
     vectors = sparse.sparkSession.read.schema(schema).parquet(path)
-    return vectors.coalesce(max(1, n_rows // 2_500))
+    cores = sparse.sparkSession.sparkContext.defaultParallelism
+    return vectors.coalesce(max(1, min(cores, n_rows // LEAST_ROWS), n_rows // MOST_ROWS))
 
 
 @dataclass(frozen=True)
