@@ -95,7 +95,8 @@ def score_messages(messages: DataFrame, scorer: Scorer) -> DataFrame:
     stripped = materialize(
         messages.select("doc_id", tx.ustrip(F.coalesce("text", F.lit(""))).alias("text")), "requests"
     )
-    predictions = scorer.classify(stripped)
+    # written, so that the tasks that count terms do not hold the texts of the evidence too
+    predictions = materialize(scorer.classify(stripped), "predictions")
     evidence = scorer.retrieve(stripped.withColumnRenamed("doc_id", "query_id")).select(
         F.col("query_id").alias("doc_id"), "evidence"
     )
