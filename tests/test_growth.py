@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -11,7 +12,10 @@ from threadlens.operators import classify as cl
 from threadlens.operators import dense
 from threadlens.operators import features as ft
 from threadlens.operators import keywords as kw
+from threadlens.operators import quality as qu
 from threadlens.operators import retrieval as rt
+from threadlens.operators.ordering import HotGroups
+from threadlens.params import Params
 from threadlens.sources.tables import session_settings
 
 
@@ -123,3 +127,41 @@ def test_training_sends_few_gradients_a_pass(spark, n_rows, partitions):
         vectors = cl.as_vectors(rows, 1, n_rows, ["y"])
         assert vectors.rdd.getNumPartitions() == partitions
     assert vectors.count() == 24
+
+
+def test_blocks_of_text_search_are_not_shuffled(spark, monkeypatch):
+    for name, value in (("LEAST_ENTRIES", 5), ("QUERY_ENTRIES", 12), ("BLOCK_ENTRIES", 20)):
+        monkeypatch.setattr(rt, name, value)
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(8)], k=rng.randint(1, 6))) for _ in range(40)]
+    docs = numbered(spark, texts, "doc_id").unionByName(numbered(spark, ["w1 w2"], "doc_id").withColumn("doc_id", F.lit(None).cast("bigint")))
+    index = rt.build_index(docs, None, 1)
+    blocks = rt._blocks(index.rows, "doc_id", 20)
+    assert blocks.selectExpr("min(size(ids) = size(sizes) AND size(indices) = aggregate(sizes, 0, (a, x) -> a + x))").first()[0]
+    assert blocks.selectExpr("sum(size(ids))").first()[0] == index.rows.count() > blocks.count()
+    rows = ft.sparse_rows(ft.doc_terms(docs, ngram_max=1), index.vocab).withColumnRenamed("doc_id", "query_id")
+    top = rt._sparse_topk(rows, index, 2)
+    # narrow matches alone are dealt out
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#", plan(top)) == ["query_id"]
+    assert top.count() == 2 * 40
+
+
+def test_texts_of_duplicates_move_once(spark):
+    rows = [
+        ("c1", "t2", "ann", "the parcel is late", 5), ("c1", "t1", "ann", "the parcel is late", 5), ("c2", "t0", "ann", "the parcel is late", 1),
+        ("c2", "t3", "bob", "the parcel is late", 2), ("c2", "t4", None, "no parcel has come", 2), ("c1", "t5", None, "no parcel has come", None),
+        (None, "t6", "eve", "is anybody there", 1), (None, "t6", "eve", "is anybody there", 1), ("c1", "t7", "ann", "thanks for nothing", 9),
+        ("c1", None, "dan", "still no parcel", 3), ("c1", "t8", "dan", "still no parcel", 3), ("c3", "t9", "dan", "one message alone", 3),
+    ]
+    frame = spark.createDataFrame(rows, "conversation_id string, tweet_id string, author_id string, text string, created_at int")
+    hot = HotGroups(None, 1_000)
+    kept = qu.quality_filter(frame, Params(min_thread_length=2), hot, twice=True)
+    last = lambda x: (x is None, x)
+    first = {}
+    for r in sorted(rows, key=lambda r: (last(r[0]), last(r[4]), last(r[1]))):
+        first.setdefault((r[2], r[3]), r)
+    sizes = Counter(r[0] for r in first.values())
+    expected = [r for r in first.values() if r[0] is None or sizes[r[0]] >= 2]
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, expected))
+    moved = [line for line in plan(kept).splitlines() if "Exchange hashpartitioning(author_id" in line]
+    assert moved and not any("text#" in line for line in moved)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from threadlens import params as P
 from threadlens.functions import text as tx
@@ -56,17 +57,46 @@ def removal_reason(p: P.Params) -> Column:
     return reason.when(F.length(text) < p.min_text_length, F.lit("too_short"))
 
 
-def _without_duplicates(messages: DataFrame, p: P.Params) -> DataFrame:
-    """The first message of every (author, text) pair."""
-    if not p.remove_duplicates:
-        return messages
-    return first_per_key(messages, ["author_id", "text"], nulls_last(MESSAGE_ORDER))
+def _first_copies(messages: DataFrame) -> DataFrame:
+    """(author_id, _digest, the order) of the first message of every (author, text) pair.
+
+    Texts that agree have the same SHA-256, so the texts themselves need not move.
+    """
+    digest = F.unhex(F.sha2(F.col("text"), 256)).alias("_digest")
+    narrow = messages.select("author_id", digest, *MESSAGE_ORDER)
+    return first_per_key(narrow, ["author_id", "_digest"], nulls_last(MESSAGE_ORDER))
 
 
-def quality_filter(messages: DataFrame, p: P.Params, hot: HotGroups | None = None) -> DataFrame:
-    """Messages that pass all rules, in conversations that stay long enough."""
+def _without_duplicates(messages: DataFrame, hot: HotGroups, twice: bool) -> DataFrame:
+    """The first message of every (author, text) pair.
+
+    Where messages may be read ``twice``, a text moves once, to its conversation, where it meets
+    the first copy's narrow row, and what follows by conversation needs no further shuffle.
+    Oversized conversations are dealt by their texts instead.
+    """
+    if not twice or hot.table is not None:
+        return first_per_key(messages, ["author_id", "text"], nulls_last(MESSAGE_ORDER))
+    key, *order = MESSAGE_ORDER
+    digest = F.unhex(F.sha2(F.col("text"), 256))
+    rows = messages.withColumn("_digest", digest).withColumn("_first", F.lit(False))
+    both = rows.unionByName(_first_copies(messages).withColumn("_first", F.lit(True)), allowMissingColumns=True)
+    # the row after a first copy's is that message: there is one in a group at most, and none is before it
+    copies = Window.partitionBy(key, "author_id", "_digest").orderBy(F.desc("_first"), *nulls_last(order))
+    kept = both.repartition(key).withColumn("_after", F.lag("_first").over(copies))
+    return kept.filter("_after AND NOT _first").select(*messages.columns)
+
+
+def quality_filter(
+    messages: DataFrame, p: P.Params, hot: HotGroups | None = None, twice: bool = False
+) -> DataFrame:
+    """Messages that pass all rules, in conversations that stay long enough.
+
+    ``twice`` reads the messages a second time, so that less is shuffled.
+    """
     hot = hot or find_hot_groups(messages, "conversation_id", p.hot_group_rows)
-    passed = _without_duplicates(messages.filter(removal_reason(p).isNull()), p)
+    passed = messages.filter(removal_reason(p).isNull())
+    if p.remove_duplicates:
+        passed = _without_duplicates(passed, hot, twice)
     return drop_short_groups(passed, "conversation_id", p.min_thread_length, hot)
 
 
@@ -83,7 +113,9 @@ def quality_removals(messages: DataFrame, p: P.Params) -> DataFrame:
         F.count_if(F.col("reason") == "too_short").alias("too_short"),
         F.count_if(F.col("reason").isNull()).alias("passed"),
     )
-    unique = _without_duplicates(messages.filter(removal_reason(p).isNull()), p)
+    unique = messages.filter(removal_reason(p).isNull())
+    if p.remove_duplicates:
+        unique = _first_copies(unique)
     sizes = unique.groupBy("conversation_id").agg(F.count("*").alias("n"))
     short = F.col("n") < p.min_thread_length
     after = sizes.agg(

@@ -28,7 +28,7 @@ def clean_and_filter(
 ) -> DataFrame:
     """Cleaned, quality-filtered messages of a threaded message table."""
     hot = hot or find_hot_groups(threads, "conversation_id", p.hot_group_rows)
-    return quality_filter(clean_messages(threads, p), p, hot)
+    return quality_filter(clean_messages(threads, p), p, hot, twice=True)
 
 
 def preprocess(tweets: DataFrame, p: Params) -> Preprocessed:
@@ -41,7 +41,7 @@ def preprocess(tweets: DataFrame, p: Params) -> Preprocessed:
     selected = materialize(filter_brand(tweets, p), "brand-rows")
     cleaned = materialize(clean_messages(build_threads(selected, p), p), "cleaned")
     hot = find_hot_groups(cleaned, "conversation_id", p.hot_group_rows)
-    messages = materialize(quality_filter(cleaned, p, hot), "messages")
+    messages = materialize(quality_filter(cleaned, p, hot, twice=True), "messages")
     removals = quality_removals(cleaned, p)
     return Preprocessed(
         messages,
