@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +145,9 @@ def test_blocks_of_text_search_are_not_shuffled(spark, monkeypatch):
     # narrow matches alone are dealt out
     assert re.findall(r"Exchange hashpartitioning\((\w+)#", plan(top)) == ["query_id"]
     assert top.count() == 2 * 40
+    # few queries take as many tasks as there are cores
+    tasks = re.findall(r"Coalesce (\d+)", plan(rt._sparse_topk(rows.filter("query_id = 3"), index, 2)))
+    assert tasks == ["4"]
 
 
 def test_texts_of_duplicates_move_once(spark):
@@ -165,3 +169,27 @@ def test_texts_of_duplicates_move_once(spark):
     assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, expected))
     moved = [line for line in plan(kept).splitlines() if "Exchange hashpartitioning(author_id" in line]
     assert moved and not any("text#" in line for line in moved)
+
+
+def test_best_of_other_blocks_are_a_floor():
+    rng = np.random.default_rng(9)
+
+    def rows(n):
+        lists = [np.sort(rng.choice(30, rng.integers(1, 9), replace=False)) for _ in range(n)]
+        weights = [rng.integers(1, 4, len(x)).astype(float) for x in lists]
+        columns = [pa.array([x.tolist() for x in lists], pa.list_(pa.int32()))]
+        columns.append(pa.array([(w / np.linalg.norm(w)).tolist() for w in weights], pa.list_(pa.float64())))
+        return pa.table([pa.array(range(n)), *columns], names=["id", "indices", "values"])
+
+    asked, blocks, k = rows(20), [rows(25) for _ in range(6)], 3
+    blocks[4] = blocks[1]
+    best = {True: {}, False: {}}
+    sent = {True: 0, False: 0}
+    for carried in best:
+        known_scores = np.zeros((20, k)) if carried else None
+        for b, held in enumerate(blocks):
+            for q, d, s in zip(*rt._best_in_block(asked, held, k, 8 * k, known_scores)):
+                best[carried].setdefault(q, []).append((-s, b, d))
+                sent[carried] += 1
+    assert {q: sorted(x)[:k] for q, x in best[True].items()} == {q: sorted(x)[:k] for q, x in best[False].items()}
+    assert sent[True] < sent[False]
