@@ -6,7 +6,7 @@ term frequency raw or 1 + ln(tf), vectors scaled to unit length.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,23 +44,54 @@ def doc_terms(
     ngram_max: int = 2,
     stop_words: list[str] | None = None,
     partitions: int | None = None,
+    known: Vocabulary | None = None,
 ) -> DataFrame:
-    """(doc_id, term, tf) for all runs of 1..ngram_max terms.
+    """(doc_id, term, tf) for all runs of 1..ngram_max terms, or those of a ``known`` vocabulary.
+
+    Terms outside a capped vocabulary are dropped before they are counted, which takes most
+    of the time; larger vocabularies drop nothing here.
 
     Documents are distributed by id before they are split, so that counting and
     every later step per document runs without moving the exploded terms.  Terms take many
     times the room of their text, so the number of partitions follows the characters.
     """
+    found = _listed_terms(docs, id_col, text_col, ngram_max, stop_words, partitions)
+    if known is not None and known.small:
+        found = found.join(F.broadcast(known.table.select("term")), "term", "left_semi")
+    return found.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
+
+
+def _listed_terms(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    ngram_max: int = 2,
+    stop_words: list[str] | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """(doc_id, term) for every occurrence of a run of 1..ngram_max terms."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     spread = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
     spread = spread.repartition(partitions or term_partitions(docs, text_col), "doc_id")
     words = spread.select("doc_id", tx.once(tx.terms(F.col("text"), stop_words)).alias("w"))
     grams = [tx.ngrams(F.col("w"), n) for n in range(1, ngram_max + 1)]
-    return (
-        words.select("doc_id", F.explode(F.concat(*grams)).alias("term"))
-        .groupBy("doc_id", "term")
-        .agg(F.count("*").alias("tf"))
-    )
+    return words.select("doc_id", F.explode(F.concat(*grams)).alias("term"))
+
+
+def frequent_terms(docs: DataFrame, max_features: int | None, partitions: int, **settings) -> Vocabulary | None:
+    """The ``max_features`` terms of the highest total frequency, where they are few enough to broadcast.
+
+    They are found without counting per document, so that ``doc_terms`` counts and writes
+    nothing but these.  The table has the column ``term`` alone.
+    """
+    known = Vocabulary(docs, max_features, False, 0)
+    if not known.small:
+        return None
+    totals = _listed_terms(docs, partitions=partitions, **settings).groupBy("term").agg(F.count("*").alias("tf"))
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-partitions // SUMMED_PARTITIONS))
+    with session_settings(docs.sparkSession, {"spark.sql.shuffle.partitions": str(tasks)}):
+        top = materialize(totals.orderBy(F.desc("tf"), "term").limit(max_features).select("term"), "frequent-terms")
+    return replace(known, table=top)
 
 
 BROADCAST_TERMS = 100_000  # larger vocabularies are joined by shuffling
@@ -75,10 +106,14 @@ class Vocabulary:
     sublinear: bool
     n_docs: int
 
+    @property
+    def small(self) -> bool:
+        """Whether the size is capped, low enough to broadcast one row per term."""
+        return self.max_features is not None and self.max_features <= BROADCAST_TERMS
+
     def hinted(self, per_term: DataFrame) -> DataFrame:
         """A table with one row per term, marked for broadcast if its size is capped."""
-        small = self.max_features is not None and self.max_features <= BROADCAST_TERMS
-        return F.broadcast(per_term) if small else per_term
+        return F.broadcast(per_term) if self.small else per_term
 
 
 def vocabulary(
