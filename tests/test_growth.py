@@ -223,3 +223,43 @@ def test_block_search_selects_among_few_documents(monkeypatch):
         assert np.allclose([x[2] for x in found], [x[2] for x in want], atol=2e-9)
     # before, every query sorted the scores of all documents
     assert np.mean(sizes) < len(held) / 10
+
+
+def test_terms_outside_a_capped_vocabulary_are_not_counted(spark):
+    docs = spark.createDataFrame([(i % 7 or None, f"aa bb w{i} aa") for i in range(30)], "doc_id int, text string")
+    counts = ft.doc_terms(docs)
+    vocab = ft.fit(counts, 30, 9, index=True)
+    top = ft.frequent_terms(docs, 9, 2)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(top.table) == rows(vocab.table.select("term")) and len(rows(top.table)) == 9
+    few = ft.written_terms(docs, "terms", 2, known=top)
+    assert rows(few) == rows(counts.join(top.table, "term", "left_semi").select("doc_id", "term", "tf"))
+    assert rows(ft.fit(few, 30, 9, index=True).table) == rows(vocab.table)
+    assert ft.frequent_terms(docs, None, 2) is None
+    assert rows(ft.doc_terms(docs, known=ft.fit(counts, 30))) == rows(counts)
+
+
+def test_certificate_reads_the_texts_once(spark, monkeypatch):
+    rows = [(i, f"aa b{i % 3}b word{i}", "xyz"[i % 3]) for i in range(12)]
+    # an id that comes twice counts its terms together, in both of its rows and with both labels
+    rows += [(11, "aa aa", "x"), (None, "aa cc", "y"), (20, None, "z"), (21, "--", "z")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, label string")
+    model, calls, counted = cl.train(df, Params()), [], ft.doc_terms
+    monkeypatch.setattr(ft, "doc_terms", lambda *a, **b: calls.append(1) or counted(*a, **b))
+    found = cl.certificate(df, model, Params(), 1e-3).first()
+    assert len(calls) == 1
+    weights = {}
+    for r in ft.weights(counted(df), model.vocab).collect():
+        weights.setdefault(r.doc_id, {})[r.term] = r.weight
+    coef = {r.term: np.array(r.coef) for r in model.coefficients.collect()}
+    slope, free = {t: c / len(rows) for t, c in coef.items()}, np.zeros(3)
+    pairs = [(a[0], b[2]) for a in rows for b in rows if a[0] == b[0] and a[0] is not None]
+    for key, label in pairs:
+        own = weights.get(key, {})
+        s = sum((w * coef[t] for t, w in own.items()), np.array(model.intercepts))
+        off = np.exp(s - s.max()) / np.exp(s - s.max()).sum() - np.array([c == label for c in model.classes])
+        free += off / len(rows)
+        for t, w in own.items():
+            slope[t] = slope[t] + w * off / len(rows)
+    assert found.gradient == pytest.approx(np.sqrt(free @ free + sum(g @ g for g in slope.values())))
+    assert (found.n_docs, found.n_terms) == (len(rows), len(coef))

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,7 +81,8 @@ def train(df: DataFrame, p: P.Params) -> IntentModel:
     rows = materialize(df.select("doc_id", "text", "label"), "training")
     n_docs = rows.count()
     n = features.term_partitions(rows)
-    counts = features.written_terms(rows, "training-terms", n, ngram_max=p.ngram_max)
+    known = features.frequent_terms(rows, p.classifier_features, n, ngram_max=p.ngram_max)
+    counts = features.written_terms(rows, "training-terms", n, ngram_max=p.ngram_max, known=known)
     vocab = features.fit(counts, n_docs, p.classifier_features, sublinear=True, index=True, partitions=n)
     # labels are a closed set, a few dozen at most
     classes = [r["label"] for r in rows.select("label").distinct().orderBy("label").collect()]
@@ -149,6 +150,14 @@ def certificate(df: DataFrame, model: IntentModel, p: P.Params, bound: float) ->
     rows = materialize(df.select("doc_id", "text", "label"), "certified")
     n = rows.count()
     k = len(model.classes)
+    counts = features.doc_terms(rows, ngram_max=model.ngram_max, known=model.vocab)
+    per_term = model.vocab.table.select("term", "idf").join(model.coefficients.select("term", "coef"), "term", "left")
+    hits = counts.join(model.vocab.hinted(per_term), "term").withColumn("raw", _tf(model) * F.col("idf"))
+    # terms stay with their document, so texts are read once for the scores and the sums
+    weighed = F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm")
+    terms = F.collect_list(F.struct("term", "raw")).alias("terms")
+    sums = hits.groupBy("doc_id").agg(*_sums(model, F.col("coef").isNotNull()), weighed, terms)
+    scored = rows.select("doc_id").join(sums, "doc_id", "left").withColumn("scores", _scores(model))
     peak = F.array_max("scores")
     exp = F.transform("scores", lambda s: F.exp(s - peak))
     total = F.aggregate(exp, F.lit(0.0), lambda a, x: a + x)
@@ -156,21 +165,22 @@ def certificate(df: DataFrame, model: IntentModel, p: P.Params, bound: float) ->
     off = F.zip_with(
         F.transform(exp, lambda e: e / total), labels, lambda q, c: q - (c == F.col("label")).cast("double")
     )
-    scored = class_scores(rows.select("doc_id", "text"), model).join(rows.select("doc_id", "label"), "doc_id")
-    residuals = materialize(scored.select("doc_id", off.alias("off")), "residuals")
-    counts = features.doc_terms(rows, ngram_max=model.ngram_max)
-    sums = [F.sum(F.col("weight") * F.col("off")[i]) / n for i in range(k)]
-    slopes = (
-        features.weights(counts, model.vocab).join(residuals, "doc_id").groupBy("term").agg(F.array(*sums).alias("slope"))
+    residuals = scored.join(rows.select("doc_id", "label"), "doc_id").select("terms", "norm", off.alias("off"))
+    # the intercept is a term of weight one in every document, without a name
+    own = F.struct(F.lit(None).cast("string").alias("term"), F.lit(1.0).alias("weight"))
+    listed = F.transform("terms", lambda t: F.struct(t["term"].alias("term"), (t["raw"] / F.col("norm")).alias("weight")))
+    listed = F.concat(F.coalesce(listed, F.array().cast("array<struct<term:string,weight:double>>")), F.array(own))
+    slopes = residuals.select("off", F.explode(listed).alias("t")).groupBy("t.term").agg(
+        F.array(*[F.sum(F.col("t.weight") * F.col("off")[i]) / n for i in range(k)]).alias("slope")
     )
+    slopes = materialize(slopes, "slopes")
     penalty = 1.0 / (p.inverse_regularization * max(1, n))
     none = F.array_repeat(F.lit(0.0), k)
     whole = model.coefficients.join(slopes, "term", "left").select(
         F.zip_with(F.coalesce("slope", none), "coef", lambda g, w: g + F.lit(penalty) * w).alias("g")
     )
     square = F.aggregate("g", F.lit(0.0), lambda a, x: a + x * x)
-    free = residuals.agg(*[(F.sum(F.col("off")[i]) / n).alias(f"b{i}") for i in range(k)])
-    intercepts = free.select(F.array(*[F.coalesce(f"b{i}", F.lit(0.0)) for i in range(k)]).alias("g"))
+    intercepts = slopes.filter("term IS NULL").select(F.col("slope").alias("g"))
     length = F.sqrt(F.coalesce(F.sum(square), F.lit(0.0)))
     n_terms = model.coefficients.agg(F.count("*").alias("n_terms"))
     return (
@@ -187,28 +197,37 @@ def certificate(df: DataFrame, model: IntentModel, p: P.Params, bound: float) ->
     )
 
 
-def class_scores(messages: DataFrame, model: IntentModel) -> DataFrame:
-    """(doc_id, scores array) for (doc_id, text) rows: linear scores per class."""
-    counts = features.doc_terms(messages, ngram_max=model.ngram_max)
-    tf = F.lit(1.0) + F.log("tf") if model.vocab.sublinear else F.col("tf").cast("double")
-    hits = counts.join(model.vocab.hinted(model.coefficients), "term").withColumn(
-        "raw", tf * F.col("idf")
-    )
-    k = len(model.classes)
-    # the unit-length scaling is one factor per message, applied after the sum
-    sums = hits.groupBy("doc_id").agg(
-        F.sum(F.col("raw") * F.col("raw")).alias("sq"),
-        *[F.sum(F.col("raw") * F.col("coef")[i]).alias(f"s{i}") for i in range(k)],
-    )
-    scores = F.array(
+def _tf(model: IntentModel) -> Column:
+    return F.lit(1.0) + F.log("tf") if model.vocab.sublinear else F.col("tf").cast("double")
+
+
+def _sums(model: IntentModel, known: Column | None = None) -> list[Column]:
+    """Square and class sums of a message's ``raw`` weights, of ``known`` terms."""
+    raw = F.col("raw") if known is None else F.when(known, F.col("raw"))
+    return [
+        F.sum(raw * raw).alias("sq"),
+        *[F.sum(raw * F.col("coef")[i]).alias(f"s{i}") for i in range(len(model.classes))],
+    ]
+
+
+def _scores(model: IntentModel) -> Column:
+    """Linear scores; the unit-length scaling is one factor per message, applied after the sum."""
+    return F.array(
         *[
             F.coalesce(F.col(f"s{i}") / F.sqrt("sq"), F.lit(0.0)) + F.lit(model.intercepts[i])
-            for i in range(k)
+            for i in range(len(model.classes))
         ]
     )
-    return messages.select("doc_id").join(sums, "doc_id", "left").select(
-        "doc_id", scores.alias("scores")
+
+
+def class_scores(messages: DataFrame, model: IntentModel) -> DataFrame:
+    """(doc_id, scores array) for (doc_id, text) rows: linear scores per class."""
+    counts = features.doc_terms(messages, ngram_max=model.ngram_max, known=model.vocab)
+    hits = counts.join(model.vocab.hinted(model.coefficients), "term").withColumn(
+        "raw", _tf(model) * F.col("idf")
     )
+    sums = hits.groupBy("doc_id").agg(*_sums(model))
+    return messages.select("doc_id").join(sums, "doc_id", "left").select("doc_id", _scores(model).alias("scores"))
 
 
 def classify(messages: DataFrame, model: IntentModel, top: int = 3) -> DataFrame:
